@@ -4,13 +4,27 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import packing
+from . import decontaminate, langid, packing, pii
 from .common import table
 
 
+def op1_pii(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES = {"op2_packing": op2_packing}
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_packing": op2_packing, "op4_decontaminate": op4_decontaminate, "op6_language": op6_language}
+
+#: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL: dict = {}
