@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, langid, packing, pii
+from . import decontaminate, langid, lmscore, packing, pii, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op4_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -24,7 +28,20 @@ def op6_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_packing": op2_packing, "op4_decontaminate": op4_decontaminate, "op6_language": op6_language}
+def op10_lattice(spark, sf_dir):
+    return lmscore.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op6_language, op10_lattice)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
-SQL: dict = {}
+SQL = {
+    "op3_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + ((CAST('0x' || substr(sha1(payload), CAST(5 * (i // 4) + 1 AS INT), 5) AS INT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31) AS INT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM p""",
+}
