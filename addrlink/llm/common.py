@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,3 +41,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+SIEVE_BITS = 26
+
+
+def sieve(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``column`` (a 64-bit hash) is not in ``keys``; no row that is in it goes.
+
+    A Bloom filter of fixed size (8 MB) is sent to the executors ahead of an exact
+    join, so that rows without a partner are not shuffled. With far more keys than
+    bits it lets all rows pass and the join does all the work.
+    """
+    low = F.col(column).bitwiseAND((1 << SIEVE_BITS) - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int"))
+    got = keys.select(F.shiftright(low, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
+    table[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+    sent = df.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for batch in batches:
+            h = np.asarray(batch.column(batch.schema.names.index(column))) & ((1 << SIEVE_BITS) - 1)
+            yield batch.filter(pa.array((sent.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1))
+
+    return df.mapInArrow(run, df.schema)
