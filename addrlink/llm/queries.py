@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, langid, lmscore, packing, pii, substring, warc
+from . import decontaminate, jaccard, langid, lmscore, packing, pii, substring, warc
 from .common import table
 
 
@@ -32,11 +32,15 @@ def op7_recompression(spark, sf_dir):
     return substring.dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark, sf_dir):
+    return jaccard.join(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op10_lattice(spark, sf_dir):
     return lmscore.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op6_language, op7_recompression, op10_lattice)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op6_language, op7_recompression, op8_jaccard, op10_lattice)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL = {
