@@ -190,3 +190,20 @@ def _by_blocks(one: DataFrame, benchmark: DataFrame, k: int, block_chars: int, w
             yield _batch(batch.column(0), rows, schema)
 
     return keyed.join(by_key, "key", "left").select("doc_id", "text", "spans", "items").mapInArrow(finish, schema)
+
+
+def drop(docs: DataFrame, benchmark: DataFrame, k: int = 10, block_chars: int = 20_000_000) -> DataFrame:
+    """``docs`` without the rows that hold a benchmark window; columns are unchanged, null and wordless texts stay."""
+    parts = list(_first_two(blocks(benchmark, block_chars)))
+    if len(parts) > 1:
+        hit = decontaminate(docs, benchmark, k, block_chars).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
+        return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    sent = docs.sparkSession.sparkContext.broadcast(parts[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = automaton(sent.value, k)
+        for batch in batches:
+            texts = batch.column(batch.schema.names.index("text")).to_pylist()
+            yield batch.filter(pa.array([not scan(t, search, k)[1] for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -197,7 +197,8 @@ def find(docs: DataFrame) -> DataFrame:
 def mask(docs: DataFrame) -> DataFrame:
     """``docs`` with each span of its text replaced by the kind in angle brackets; all columns and rows stay.
 
-    Overlapping spans are masked as one, named after the first. Null text stays null.
+    Overlapping spans are masked as one, named after the first. Null text stays
+    null. A column n_chars gets the new number of code points where text changed.
     """
     names = docs.columns
 
@@ -205,8 +206,14 @@ def mask(docs: DataFrame) -> DataFrame:
         parse = parser()
         for batch in batches:
             k = batch.schema.names.index("text")
-            texts = [masked(t, parse(t)) if t else t for t in batch.column(k).to_pylist()]
-            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
+            before = batch.column(k).to_pylist()
+            texts = [masked(t, parse(t)) if t else t for t in before]
+            batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
+            if "n_chars" in batch.schema.names:
+                j = batch.schema.names.index("n_chars")
+                sizes = [n if a is b else len(b) for n, a, b in zip(batch.column(j).to_pylist(), before, texts, strict=True)]
+                batch = batch.set_column(j, batch.schema.field(j), pa.array(sizes, batch.schema.field(j).type))
+            yield batch
 
     return docs.select(*names).mapInArrow(run, docs.schema)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, jaccard, langid, lmscore, packing, pii, substring, warc
+from . import decontaminate, jaccard, langid, lmscore, packing, pii, substring, toxicity, warc
 from .common import table
 
 
@@ -24,6 +24,12 @@ def op4_decontaminate(spark, sf_dir):
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark, sf_dir):
+    """Chain over the label table: a junk category first, then toxicity."""
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", "1 - quality AS junk", "toxic")
+    return toxicity.classify(table(spark, sf_dir, "documents"), labels, ("junk", "toxic"))
+
+
 def op6_language(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -40,7 +46,7 @@ def op10_lattice(spark, sf_dir):
     return lmscore.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op6_language, op7_recompression, op8_jaccard, op10_lattice)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op5_toxicity, op6_language, op7_recompression, op8_jaccard, op10_lattice)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL = {

@@ -100,11 +100,19 @@ class Words:
         sums = np.zeros(len(data) + 1, U)
         np.cumsum((LOWER_VALUES if lower else VALUES)[data] * up[: len(data)], out=sums[1:])
         self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        self.bytes_sums = sums
 
     def text(self) -> np.ndarray:
         """The text that each word is in."""
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of at least ``size`` bytes and hashes of their first ``size`` bytes."""
+        at = np.flatnonzero(self.end - self.start >= size)
+        start = self.start[at]
+        _, down = _BYTES(len(self.data) + 1)
+        return at, mix((self.bytes_sums[start + size] - self.bytes_sums[start]) * down[start] + U(size))
+
     def sums(self, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
         up, down = (_WORDS2 if second else _WORDS)(self.n + 1)
         out = np.zeros(self.n + 1, U)
