@@ -20,13 +20,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import pack, unpack
 from .common import materialize, partitions
 from .langid import remainder
 from .lattice import vocabulary
 from .tokens import U, Words, mix, slices
 
-RUN_BYTES = 8_000_000
-CACHE_WORDS = 1_000_000
+RUN_BYTES = 3_000_000
+CACHE_WORDS = 400_000
 COLUMNS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -67,20 +68,12 @@ def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float]:
 
 
 def _pack(kind: int, bucket: int, run: int, *arrays: np.ndarray) -> tuple[int, int, int, bytes]:
-    return kind, bucket, run, b"".join([np.array([len(a) for a in arrays], np.int64).tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
+    return kind, bucket, run, pack(*arrays)
 
 
-def _unpack(raw: bytes, *kinds) -> list[np.ndarray]:
-    sizes, at, out = np.frombuffer(raw, np.int64, len(kinds)), 8 * len(kinds), []
-    for n, kind in zip(sizes.tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
-    return out
-
-
-BLOCK = (np.uint64, np.uint32, np.uint16, np.uint16, np.uint32)  # word hashes, entries of each, texts, counts, texts of the training rows
+BLOCK = (np.uint64, np.uint32, np.uint16, np.uint16)  # word hashes, entries of each, texts (twice their number, plus one in training rows), counts
 PARTS = (np.uint16, np.float64, np.uint32)  # texts, their gains, their known tokens
-MOST_TEXTS = 60_000
+MOST_TEXTS = 30_000
 
 
 def _runs(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
@@ -142,11 +135,11 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 cut = np.searchsorted(bucket[place], np.arange(buckets + 1, dtype=U))
                 edge = np.searchsorted(word, cut)
                 per = np.bincount(word, minlength=len(keys)).astype(np.uint32)
-                train = np.flatnonzero(~held).astype(np.uint32)
+                doc = doc * 2 + ~held[doc]
                 for b in range(buckets):
                     if cut[b] < cut[b + 1]:
                         e = slice(edge[b], edge[b + 1])
-                        out.append(_pack(0, b, run, keys[place[cut[b] : cut[b + 1]]], per[cut[b] : cut[b + 1]], doc[e].astype(np.uint16), times[e].astype(np.uint16), train))
+                        out.append(_pack(0, b, run, keys[place[cut[b] : cut[b + 1]]], per[cut[b] : cut[b + 1]], doc[e].astype(np.uint16), times[e].astype(np.uint16)))
                 run += 1
                 yield _rows(out)
 
@@ -167,10 +160,8 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 return k, np.bincount(where.reshape(-1), np.concatenate([count, *(x[1] for x in waiting)]).astype(float), len(k)).astype(np.int64)
 
             for _, raw in held[b]:
-                word, per, doc, times, train = _unpack(raw, *BLOCK)
-                learned = np.zeros(MOST_TEXTS, bool)
-                learned[train] = True
-                c = np.bincount(np.repeat(np.arange(len(word)), per), times * learned[doc], len(word)).astype(np.int64)
+                word, per, doc, times = unpack(raw, *BLOCK)
+                c = np.bincount(np.repeat(np.arange(len(word)), per), times * (doc & 1).astype(np.int64), len(word)).astype(np.int64)
                 waiting.append((word[c > 0], c[c > 0]))
                 if sum(len(x[0]) for x in waiting) > len(keys) + 1_000_000:
                     keys, count, waiting = *settle(keys, count, waiting), []
@@ -178,7 +169,8 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 keys, count = settle(keys, count, waiting)
             seen += len(keys)
             for run, raw in held.pop(b):
-                word, per, doc, times, _ = _unpack(raw, *BLOCK)
+                word, per, doc, times = unpack(raw, *BLOCK)
+                doc = doc >> 1
                 at = np.searchsorted(keys, word)
                 c = np.where((at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == word), count[np.minimum(at, len(keys) - 1)], 0) if len(keys) else np.zeros(len(word), np.int64)
                 gain = np.repeat(np.log10(c + 0.1) + 1.0, per)  # over a word that was not seen
@@ -195,7 +187,7 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
         for batch in batches:
             n = ends = 0
             for raw in batch.column(0).to_pylist():
-                _, _, held, size, _ = _unpack(raw, np.int64, np.uint8, np.uint8, np.int64, np.float64)
+                _, _, held, size, _ = unpack(raw, np.int64, np.uint8, np.uint8, np.int64, np.float64)
                 n, ends = n + int(size[held == 0].sum()), ends + int((held == 0).sum())
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([ends], pa.int64())], names=["n", "ends"])
 
@@ -218,10 +210,10 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                 if kind == 1:
                     if held:
                         yield out()
-                    fields = _unpack(raw, np.int64, np.uint8, np.uint8, np.int64, np.float64)
+                    fields = unpack(raw, np.int64, np.uint8, np.uint8, np.int64, np.float64)
                     held = (run, *fields, np.zeros(len(fields[0])), np.zeros(len(fields[0]), np.int64))
                 else:
-                    texts, gains, known = _unpack(raw, *PARTS)
+                    texts, gains, known = unpack(raw, *PARTS)
                     held[6][texts] += gains
                     held[7][texts] += known
         if held:
