@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, jaccard, langid, lmscore, packing, pii, substring, toxicity, warc
+from . import decontaminate, jaccard, langid, lmscore, media, packing, pii, substring, toxicity, warc
 from .common import table
 
 
@@ -42,11 +42,17 @@ def op8_jaccard(spark, sf_dir):
     return jaccard.join(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op9_media(spark, sf_dir):
+    """Images rendered from every row of the embedding table, the only media-like column there is."""
+    found = media.copies(media.rendered(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op10_lattice(spark, sf_dir):
     return lmscore.score(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op5_toxicity, op6_language, op7_recompression, op8_jaccard, op10_lattice)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_packing, op3_warc, op4_decontaminate, op5_toxicity, op6_language, op7_recompression, op8_jaccard, op9_media, op10_lattice)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 SQL = {
