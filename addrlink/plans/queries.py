@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from . import names, spatial
+
+QUERIES: dict = {**spatial.QUERIES, **names.QUERIES}
+SQL: dict = {**spatial.SQL, **names.SQL}
