@@ -141,6 +141,7 @@ def removals(rows: DataFrame, window: int = 35) -> DataFrame:
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("nth").cast("int"))
     masks = windows.join(again, ["w1", "w2"], "left_semi").select("f", "g", bit.alias("bit")).groupBy("f", "g").agg(F.bit_or("bit").alias("mask"))
     known = by_g.select("f", "g", "n").join(masks, ["f", "g"], "left").select("f", "g", F.when(F.col("n") > 1, F.lit(-1).cast("long")).otherwise(F.col("mask")).alias("mask")).where("mask is not null")
+    known = materialize(known, "known")  # both sides of the join are then dealt by it, and a hot core can be split
     partly = mixed.join(known, ["f", "g"]).select("key", F.explode(F.filter(F.transform(F.sequence(F.lit(0), size.cast("int") - 1), lambda i: F.when(F.call_function("shiftright", F.col("mask"), i).bitwiseAND(1) == 1, start + i)), lambda x: x.isNotNull())).alias("start")).select("key", "start", (F.col("start") + window).alias("end"))
     spans = whole.unionByName(partly).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     return spans
