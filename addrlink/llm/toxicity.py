@@ -24,7 +24,7 @@ from .tokens import ALNUM, SPACED, U, Words, slices
 
 BITS = 20
 SYMBOLS = SPACED & ~ALNUM
-FOLDS = 3
+FOLDS, LEAST_ROWS = 3, 5
 #: Bytes of a word's beginning that are features, and counts from which a beginning is another feature.
 STEMS, OFTEN = (4, 5, 6, 7), (2, 3, 5)
 
@@ -62,7 +62,7 @@ class Linear:
         with_y = np.bincount(at, y[rows].astype(float), 1 << BITS)
         share = pos / n
         z = np.abs(with_y - seen * share) / np.sqrt(np.maximum(seen * share * (1 - share), 1e-9))
-        self.at = np.flatnonzero((seen >= 5) & (z >= least_z))
+        self.at = np.flatnonzero((seen >= LEAST_ROWS) & (z >= least_z))
         place = np.full(1 << BITS, -1)
         place[self.at] = np.arange(len(self.at))
         kept = place[at] >= 0
@@ -110,7 +110,7 @@ class Chain:
         return earlier
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], sample: int = 10_000) -> Chain:
+def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], sample: int = 5_000) -> Chain:
     """Learn from at most ``sample`` labelled rows that have a text and all categories (0 or 1; the larger of repeated ones)."""
     given = labels.select(F.col("doc_id").cast("long").alias("id"), *(F.col(c).cast("int").alias(c) for c in categories)).dropna()
     drawn = given.groupBy("id").agg(*(F.max(c).alias(c) for c in categories)).orderBy(F.xxhash64("id"), "id").limit(sample)
@@ -126,14 +126,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], sample:
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)), batch.column(2).slice(at, len(part)), pa.array(raw, pa.binary())], names=["id", "y", "at"])
 
     got = sorted(((r["id"], bytes(r["at"]), r["y"]) for r in rows.mapInArrow(run, "id long, y array<int>, at binary").collect()), key=lambda r: r[:2])
-    at = [np.frombuffer(r[1], np.int32).astype(np.int64) for r in got]
-    row = np.repeat(np.arange(len(at)), [len(a) for a in at]).astype(np.int64)
+    at = np.concatenate([np.frombuffer(r[1], np.int32) for r in got]) if got else np.zeros(0, np.int32)
+    row = np.repeat(np.arange(len(got), dtype=np.int32), [len(r[1]) // 4 for r in got])
+    often = (np.bincount(at, minlength=1 << BITS) >= LEAST_ROWS)[at]  # models never keep rarer ones
+    at, row = at[often], row[often]
     y = np.array([r[2] for r in got], float).reshape(len(got), len(categories))
     fold = np.array([(r[0] * 2654435761 >> 16) % FOLDS for r in got], int)
-    return Chain(row, np.concatenate(at) if at else np.zeros(0, np.int64), y, fold)
+    return Chain(row, at, y, fold)
 
 
-def classify(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], threshold: float = 0.5, sample: int = 10_000) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...], threshold: float = 0.5, sample: int = 5_000) -> DataFrame:
     """doc_id, p_<category> for each category, and <last category> as a boolean, for each row of ``docs``.
 
     Null and empty texts have no tokens and get the models' base rates. Without
