@@ -75,13 +75,13 @@ def street_rows(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     kept = ways.where(is_street_way("tags"))
     geom = way_geometry(kept.select("id", "refs"), nodes)
     city = F.coalesce(F.nullif(_get("tags", "addr:city"), F.lit("")), F.nullif(_get("tags", "is_in:city"), F.lit("")), F.lit(""))
-    fields = lambda d, kind: d.select(
+    fields = lambda d, kind, points: d.select(
         "id", name.alias("name"), text.name_norm(name).alias("name_norm"), kind.alias("kind"), city.alias("city"), text.name_norm(city).alias("city_norm"), _get("tags", "addr:suburb").alias("suburb"), text.name_norm(_get("tags", "addr:suburb")).alias("suburb_norm"),
         _get("tags", "addr:postcode").alias("postcode"), F.array_join(text.alt_names("tags", name), ";").alias("name_alt"), F.array_join(F.filter(F.transform(text.alt_names("tags", name), text.name_norm), lambda x: x != ""), ";").alias("name_alt_norm"), text.oneway_code(_get("tags", "oneway")).alias("oneway"),
-        *[c for c in ("lat", "lon") if c in d.columns],
+        *(["lat", "lon"] if points else []),
     )
-    by_way = fields(kept, text.street_kind("tags")).join(geom, "id").withColumn("polyline", geo.encode_polyline("points")).withColumn("osm_type", F.lit("way")).drop("points")
-    squares = fields(nodes.where(is_street_node("tags")), F.lit("square"))
+    by_way = fields(kept, text.street_kind("tags"), False).join(geom, "id").withColumn("polyline", geo.encode_polyline("points")).withColumn("osm_type", F.lit("way")).drop("points")
+    squares = fields(nodes.where(is_street_node("tags")), F.lit("square"), True)
     by_node = squares.withColumnRenamed("lon", "lng")
     for c, base in (("lat_min", "lat"), ("lat_max", "lat"), ("lng_min", "lng"), ("lng_max", "lng")):
         by_node = by_node.withColumn(c, F.col(base))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,9 +158,6 @@ def rings_from_geojson(spark: SparkSession, path: str, name: str) -> DataFrame:
 
 def simplify(polygons: DataFrame, eps: float, decimals: int = 4) -> DataFrame:
     """Douglas-Peucker for each ring, coordinates rounded; rings of under four points go."""
-    import numpy as np
-    import pandas as pd
-
     def keep(ring) -> list[float] | None:
         p = np.asarray(ring, float).reshape(-1, 2)
         kept, todo = np.zeros(len(p), bool), [(0, len(p) - 1)]

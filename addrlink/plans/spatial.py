@@ -181,7 +181,7 @@ def polygon_lookup(spark, sf_dir):
     """The first nation square that holds each feature, through the cell grid."""
     n = spark.read.parquet(f"{sf_dir}/nation.parquet")
     y, x = (-(10.0 + F.floor(F.col("n_nationkey") / 5) * 0.5) - 0.025), (-(40.0 + F.col("n_nationkey") % 5 * 0.5) - 0.025)
-    h = 0.0201
+    h = 0.020125
     edges = region.edge_table(n.select(F.col("n_name").alias("poly"), F.array(F.array(x - h, y - h, x + h, y - h, x + h, y + h, x - h, y + h)).alias("rings")))
     p = view(spark, sf_dir, POINT)
     return p.select("ord").join(region.polygon_of(p, edges, region.grid(edges, 0.01), "ord", 0.01), "ord", "left")
@@ -189,7 +189,7 @@ def polygon_lookup(spark, sf_dir):
 
 POLYGON_LOOKUP = f"""
 WITH n AS (SELECT n_name, -(10.0::DOUBLE + (n_nationkey // 5) * 0.5::DOUBLE) - 0.025::DOUBLE AS cy, -(40.0::DOUBLE + (n_nationkey % 5) * 0.5::DOUBLE) - 0.025::DOUBLE AS cx FROM nation)
-SELECT ord, min(n_name) AS poly FROM ({D_POINT}) p LEFT JOIN n ON abs(lat - cy) < 0.0201 AND abs(lng - cx) < 0.0201 GROUP BY ord"""
+SELECT ord, min(n_name) AS poly FROM ({D_POINT}) p LEFT JOIN n ON abs(lat - cy) < 0.020125 AND abs(lng - cx) < 0.020125 GROUP BY ord"""
 
 
 def state_resolution(spark, sf_dir):
@@ -316,7 +316,7 @@ COORDINATE_SEQUENCE = f"""WITH {_JUMPS} SELECT count(*) AS n, sum(jump) AS jump_
 def event_sessions(spark, sf_dir):
     """O2: runs of events of one user with pauses of at most 90 seconds."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "user_id")
-    s = postal.sessions(e, "ts", 90, ["user_id"])
+    s = postal.sessions(e.withColumn("ts", F.col("ts").cast("timestamp")), "ts", 90, ["user_id"])
     return s.select("user_id", "n", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"))
 
 
