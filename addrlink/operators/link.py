@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..params import LinkParams
+from .lineage import cut
 from .clusters import components, footprint, summarise, trim_outliers
 
 RULES = ["", "exato", "exato", "name_alt", "name_alt", "nucleo", "fonetico", "titulo", "titulo_fonetico", "conectores", "fuzzy"]
@@ -310,34 +311,34 @@ def prepared(features: DataFrame, p: LinkParams) -> tuple[DataFrame, DataFrame]:
 def link(register: DataFrame, features: DataFrame, localities: DataFrame, p: LinkParams | None = None, rounds: int = 2, families: tuple[str, ...] = ()) -> Linked:
     """Run the cascade and all phases; ``state`` has one row a register row.
 
-    Intermediate tables that several phases read are persisted (recomputed from the
-    inputs if an executor is lost). ``families`` restricts the cascade to some key
+    Tables that several phases read are checkpointed, so that no phase is planned or run twice. ``families`` restricts the cascade to some key
     families; with ``rounds`` 1 the phases after the first round are left out.
     """
     p = p or LinkParams()
-    rows = register_keys(register).persist()
-    clusters, members = (x.persist() for x in prepared(features, p))
+    rows = cut(register_keys(register))
+    clusters, members = (cut(x) for x in prepared(features, p))
     keys = key_table(clusters, features)
-    keys = (keys.where(F.col("family").isin(list(families))) if families else keys).persist()
-    cand = candidates(rows, keys, p.fuzzy).persist()
-    base = trim_outliers(anchor_points(rows, clusters, members), p.anchor_radius_km, p.mass_cell).persist()
+    keys = keys.where(F.col("family").isin(list(families))) if families else keys
+    cand = cut(candidates(rows, cut(keys), p.fuzzy))
+    base = cut(trim_outliers(anchor_points(rows, clusters, members), p.anchor_radius_km, p.mass_cell))
     own = footprint(base, p.footprint_cell, p.dilate)
-    cells = inherit(own, localities).persist()
-    centre = centres(base).persist()
-    state = round_one(considered(rows, cand, clusters, members, cells, p.footprint_cell), p.max_extent_km).select("ord", "loc_nu", "rank", "status", "motive", "cid", "n_candidates").persist()
+    cells = cut(inherit(own, localities))
+    centre = cut(centres(base))
+    state = cut(round_one(considered(rows, cand, clusters, members, cells, p.footprint_cell), p.max_extent_km).select("ord", "loc_nu", "rank", "status", "motive", "cid", "n_candidates"))
     if rounds > 1:
         matched = state.where("status = 'ok'").join(members.select("cid", "lat", "lng", F.col("ord").alias("f_ord")), "cid").select("loc_nu", "lat", "lng", (F.lit(1 << 62) + F.col("ord") * (1 << 20) + F.col("f_ord") % (1 << 20)).alias("ord"))
         grown = footprint(trim_outliers(base.join(matched.select("loc_nu").distinct(), "loc_nu", "left_semi").unionByName(matched), p.anchor_radius_km, p.mass_cell), p.footprint_cell, p.dilate)
-        cells = cells.join(grown.select("loc_nu").distinct(), "loc_nu", "left_anti").unionByName(grown).persist()
-        state = round_two(considered(rows, cand, clusters, members, cells, p.footprint_cell), rows, state, clusters, p.max_extent_km).persist()
+        grown = cut(grown)
+        cells = cut(cells.join(grown.select("loc_nu").distinct(), "loc_nu", "left_anti").unionByName(grown))
+        state = cut(round_two(considered(rows, cand, clusters, members, cells, p.footprint_cell), rows, state, clusters, p.max_extent_km))
         if p.envelope:
-            state = envelope(state, cand, clusters, centre, p).persist()
+            state = cut(envelope(state, cand, clusters, centre, p))
         if p.neighbours:
-            state = recover_neighbours(state, rows, cand, clusters, p).persist()
+            state = cut(recover_neighbours(state, rows, cand, clusters, p))
         if p.exclusive:
-            state = exclude(state, owners(state, clusters, centre)).persist()
+            state = cut(exclude(state, owners(state, clusters, centre)))
             if p.neighbours:
-                state = recover_after_conflict(state, rows, cand, clusters, p).persist()
+                state = cut(recover_after_conflict(state, rows, cand, clusters, p))
     if "phase" not in state.columns:
         state = state.withColumn("phase", F.lit(""))
     named = rows.select("ord", F.col("loc_nu").alias("r_loc")).join(state, "ord", "left")
