@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,23 +46,48 @@ def partitions(spark: SparkSession) -> int:
 SIEVE_BITS = 26
 
 
-def sieve(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
-    """``df`` without most rows whose ``column`` (a 64-bit hash) is not in ``keys``; no row that is in it goes.
-
-    A Bloom filter of fixed size (8 MB) is sent to the executors ahead of an exact
-    join, so that rows without a partner are not shuffled. With far more keys than
-    bits it lets all rows pass and the join does all the work.
-    """
+def sieve_bits(keys: DataFrame, column: str):
+    """A Bloom filter of fixed size (8 MB) over a column of 64-bit hashes, sent to the executors."""
     low = F.col(column).bitwiseAND((1 << SIEVE_BITS) - 1)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), low.bitwiseAND(63).cast("int"))
     got = keys.select(F.shiftright(low, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     table = np.zeros(1 << (SIEVE_BITS - 6), np.uint64)
     table[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
-    sent = df.sparkSession.sparkContext.broadcast(table)
+    return keys.sparkSession.sparkContext.broadcast(table)
+
+
+def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the filter."""
+    h = h & ((1 << SIEVE_BITS) - 1)
+    return (bits[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def sieve(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """``df`` without most rows whose ``column`` (a 64-bit hash) is not in ``keys``; no row that is in it goes.
+
+    Put ahead of an exact join, so that rows without a partner are not shuffled.
+    With far more keys than bits all rows pass and the join does all the work.
+    """
+    sent = sieve_bits(keys, column)
 
     def run(batches):
         for batch in batches:
-            h = np.asarray(batch.column(batch.schema.names.index(column))) & ((1 << SIEVE_BITS) - 1)
-            yield batch.filter(pa.array((sent.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1) == 1))
+            yield batch.filter(pa.array(passes(sent.value, np.asarray(batch.column(batch.schema.names.index(column))))))
 
     return df.mapInArrow(run, df.schema)
+
+
+def sieve_apart(df: DataFrame, value: Column, bits) -> tuple[DataFrame, DataFrame]:
+    """(rows whose 64-bit ``value`` may be in the filter, rows whose value is not), each in one pass without a shuffle."""
+    names = df.columns
+    keyed = df.select(value.alias("_sieve"), *names)
+
+    def side(inside: bool) -> DataFrame:
+        def run(batches):
+            for batch in batches:
+                hit = passes(bits.value, np.asarray(batch.column(0)))
+                yield batch.select(names).filter(pa.array(hit == inside))
+
+        return keyed.mapInArrow(run, df.schema)
+
+    return side(True), side(False)

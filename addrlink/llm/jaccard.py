@@ -2,19 +2,20 @@
 
 Texts with equal sets are one class and take part once. Candidates come from
 equal groups (see ``shingles``): buckets of one class level in which all sets hold
-the same tokens of one group. In each bucket the sets' count vectors are packed
-into a two-level R-tree; leaf pairs, then pairs, survive where the sum of
-coordinate minima (of leaf maxima, then of vectors) reaches the overlap that the
-similarity needs. Survivors are verified on their token sets.
+the same tokens of one group.
 
 First every set meets the least one of each of its buckets only, so a family of
-thousands costs thousands of comparisons, not millions. What is connected then is
-left out; buckets that still hold several components are searched in full, in
-blocks of bounded size. So every link between different components is found, and
-components are exact, while pairs within one are not all listed.
+thousands costs thousands of comparisons, not millions. Buckets whose sets are all
+connected then are done. The sets of the others form families, tied together by
+those buckets; the count vectors of a family are packed into two-level R-trees, in
+blocks of bounded size, and leaf pairs, then pairs of different components, survive
+where the sum of coordinate minima (of leaf maxima, then of vectors) reaches the
+overlap that the similarity needs. Survivors are verified on their token sets. So
+every link between different components is found, and components are exact, while
+pairs within one are not all listed.
 
 A tree over all vectors at once does not prune (in tens of dimensions every leaf
-overlaps every query), hence one tree for each bucket.
+overlaps every query), hence trees for each family.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .blocks import pack, unpack
-from .common import materialize, partitions, sieve
+from .common import materialize, partitions, passes, sieve_apart, sieve_bits
 from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
@@ -110,20 +111,20 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _vectors(k: int, percent: int):
-    """Texts to their token sets and count vectors at the levels they take part in."""
+def _chosen(k: int, rows, classes, describe, names: list[str], types: list):
+    """Texts that pass both filters to rows of their sets: the class, then what ``describe`` tells of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, part in slices(batch.column(1)):
-                cls, tokens, levels, vectors = [], [], [], []
+            batch = batch.filter(pa.array(passes(rows.value, np.asarray(batch.column(0)))))
+            for _, part in slices(batch.column(1)):
+                cls, out = [], []
                 for s in shingles.sets(Words(part, lower=True), k):
-                    if len(s) >= shingles.FIRST:
-                        cls.append(shingles.name(s))
-                        tokens.append(signed(s))
-                        levels.append([lv for lv, _ in shingles.levels(len(s), percent)])
-                        vectors.append([np.minimum(np.bincount(shingles.group_of(s, m), minlength=m), 65_535).astype(np.uint16).tobytes() for _, m in shingles.levels(len(s), percent)])
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.array(cls, U))), pa.array(tokens, pa.list_(pa.int64())), pa.array(levels, pa.list_(pa.int32())), pa.array(vectors, pa.list_(pa.binary()))], names=["cls", "tokens", "levels", "vectors"])
+                    if len(s) >= shingles.FIRST and passes(classes.value, signed(np.array([c := shingles.name(s)], U)))[0]:
+                        cls.append(c)
+                        out.append(describe(s))
+                cols = list(zip(*out, strict=True)) if out else [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.array(cls, U))), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["cls", *names])
 
     return run
 
@@ -135,18 +136,27 @@ def _bounded(percent: int):
         for batch in batches:
             va, vb = batch.column(4).to_pylist(), batch.column(5).to_pylist()
             least = needed(np.asarray(batch.column(2)), np.asarray(batch.column(3)), percent)
-            ok = [int(np.minimum(np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)).sum(dtype=np.int64)) >= m for x, y, m in zip(va, vb, least.tolist(), strict=True)]
+            ok = []
+            for x, y, m in zip(va, vb, least.tolist(), strict=True):
+                counts, marks = shingles.read_vectors([x, y])
+                ok.append(int(np.minimum(counts[0], counts[1]).sum(dtype=np.int64) - _unlike(counts[0], counts[1], marks[0], marks[1]).sum()) >= m)
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return run
 
 
+def _unlike(ca: np.ndarray, cb: np.ndarray, ma: np.ndarray, mb: np.ndarray) -> np.ndarray:
+    """Groups with equal counts and unequal content."""
+    return (ca == cb) & (ma != mb)
+
+
 class Tree:
     """Count vectors packed into leaves: sorted by size, then by their widest coordinates; each leaf has its maxima."""
 
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, marks: np.ndarray | None = None):
         order = self._order(vectors, np.argsort(sizes, kind="stable"))
         self.order, self.vectors, self.sizes = order, vectors[order], sizes[order]
+        self.marks = None if marks is None else marks[order]
         self.start = np.arange(0, len(order), LEAF)
         self.high = np.maximum.reduceat(self.vectors, self.start) if len(order) else self.vectors
         self.largest = np.maximum.reduceat(self.sizes, self.start) if len(order) else self.sizes
@@ -170,27 +180,33 @@ class Tree:
             for j in leaves:
                 theirs = slice(other.start[j], other.start[j] + LEAF)
                 overlap = np.minimum(self.vectors[mine, None], other.vectors[None, theirs]).sum(2, dtype=np.int64)
-                x, y = np.nonzero(overlap >= needed(self.sizes[mine, None], other.sizes[None, theirs], percent))
+                least = needed(self.sizes[mine, None], other.sizes[None, theirs], percent)
+                x, y = np.nonzero(overlap >= least)
+                if len(x) and self.marks is not None:
+                    less = _unlike(self.vectors[mine][x], other.vectors[theirs][y], self.marks[mine][x], other.marks[theirs][y]).sum(1)
+                    kept = overlap[x, y] - less >= least[x, y]
+                    x, y = x[kept], y[kept]
                 if len(x):
                     yield self.order[mine][x], other.order[theirs][y]
 
 
 def _search(percent: int):
-    """Sorted rows of (key, low block, high block) groups to the pairs of different components that survive."""
+    """Sorted rows of (family, level, low block, high block) groups to the pairs of different components that survive."""
 
     def group(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         cls, size, comp, block = (rows.column(c).to_numpy() for c in ("cls", "n", "comp", "block"))
-        vectors = np.stack([np.frombuffer(v, np.uint16) for v in rows.column("vector").to_pylist()])
+        counts, marks = shingles.read_vectors(rows.column("vector").to_pylist())
         low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         a = np.flatnonzero(block == low)
         b = a if low == high else np.flatnonzero(block == high)
-        one = Tree(vectors[a], size[a])
-        two = one if low == high else Tree(vectors[b], size[b])
+        one = Tree(counts[a], size[a], marks[a])
+        two = one if low == high else Tree(counts[b], size[b], marks[b])
         for x, y in one.join(two, percent):
             x, y = a[x], b[y]
             ok = (cls[x] < cls[y]) & (comp[x] != comp[y]) if low == high else comp[x] != comp[y]
             if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[x], cls[y])[ok]), pa.array(np.maximum(cls[x], cls[y])[ok])], names=["a", "b"])
+                x, y = x[ok], y[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[x], cls[y])), pa.array(np.maximum(cls[x], cls[y]))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -199,8 +215,8 @@ def _search(percent: int):
             t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
             if not len(t):
                 continue
-            key, low, high = (t.column(c).to_numpy() for c in ("key", "low", "high"))
-            cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            key, level, low, high = (t.column(c).to_numpy() for c in ("key", "level", "low", "high"))
+            cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (level[1:] != level[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
             for x, y in zip(cut[:-1], cut[1:], strict=True):
                 yield from group(t.slice(x, y - x))
             rest = t.slice(cut[-1])
@@ -232,7 +248,9 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     first = described.join(classes, "cls").where("doc_id = component_id").groupBy("component_id").agg(F.min("cls").alias("cls"), F.count("*").alias("rows"))
     extra = first.where("rows > 1").select("component_id", F.col("cls").alias("kept_cls"))
     gone = materialize(gone.where("d != -1").select("d").distinct(), "gone")
-    lone = docs.join(gone, docs["doc_id"] == gone["d"], "left_anti")
+    # most rows are surely not gone and need not meet the list
+    maybe, sure = sieve_apart(docs, F.xxhash64(F.coalesce(docs["doc_id"].cast("long"), F.lit(0))), sieve_bits(gone.select(F.xxhash64("d").alias("h")), "h"))
+    lone = sure.unionByName(maybe.join(gone, maybe["doc_id"] == gone["d"], "left_anti"))
     if extra.isEmpty():
         return lone
     ids = extra.select(F.col("component_id").alias("d"))
@@ -250,22 +268,28 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     found = materialize(all_rows.where("kind = 1").select("raw", "bucket").repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")
     least = described.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
-    # token sets and count vectors of the classes that share a bucket, from one row of each
+    # count vectors of the classes that share a bucket, from one row of each; token sets of the few pairs that come to be verified
     shared = found.select("cls").distinct()
-    one = materialize(shared.join(least, "cls").select("cls", F.coalesce("least", F.lit(0)).alias("least"), F.xxhash64(F.coalesce("least", F.lit(0))).alias("h")), "shared")
-    fetched = sieve(rows.select("doc_id", "text", F.xxhash64(F.coalesce("doc_id", F.lit(0))).alias("h")), "h", one).select("doc_id", "text").mapInArrow(_vectors(k, percent), "cls long, tokens array<long>, levels array<int>, vectors array<binary>")
-    held = materialize(sieve(fetched, "cls", one).join(one.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]), "tokens")
+    one = materialize(shared.join(least, "cls").select("cls", F.xxhash64(F.coalesce("least", F.lit(0))).alias("h")), "shared")
+    hashed = rows.select(F.xxhash64(F.coalesce("doc_id", F.lit(0))).alias("h"), "text")
+
+    def told(of: DataFrame, describe, names: list[str], types: list, schema: str) -> DataFrame:
+        return hashed.mapInArrow(_chosen(k, sieve_bits(of, "h"), sieve_bits(of, "cls"), describe, names, types), schema)
+
+    at_levels = lambda s: ([lv for lv, _ in shingles.levels(len(s), percent)], [shingles.vector(s, lv, m) for lv, m in shingles.levels(len(s), percent)])
+    held = materialize(told(one, at_levels, ["levels", "vectors"], [pa.list_(pa.int32()), pa.list_(pa.binary())], "cls long, levels array<int>, vectors array<binary>"), "vectors")
     vectors = held.select("cls", F.explode(F.arrays_zip("levels", "vectors")).alias("x")).select("cls", F.col("x.levels").alias("level"), F.col("x.vectors").alias("vector"))
-    tokens = held.select("cls", "tokens")
 
     def side(name: str) -> DataFrame:
         return vectors.select(F.col("cls").alias(name), "level", F.col("vector").alias(f"v{name}"))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        asked = materialize(one.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "asked")
+        tokens = materialize(told(asked, lambda s: (signed(s),), ["tokens"], [pa.list_(pa.int64())], "cls long, tokens array<long>"), "tokens")
         a, b = (tokens.select(F.col("cls").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
         both = pairs.join(a, "a").join(b, "b")
         same = F.size(F.array_intersect("ta", "tb"))
-        return both.where(100 * same >= percent * (F.size("ta") + F.size("tb") - same)).select("a", "b")
+        return both.where(100 * same >= percent * (F.size("ta") + F.size("tb") - same)).select("a", "b").distinct()
 
     fits = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
     stars = found.where("cls != centre").select(F.col("centre").alias("a"), F.col("cls").alias("b"), F.col("centre_n").alias("na"), F.col("n").alias("nb"), "level").where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("level").alias("level"))
@@ -273,13 +297,16 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     links = materialize(verified(materialize(likely, "likely")), "links")
     roots = components(links)
 
-    # buckets that still hold several components
+    # sets of buckets that still hold several components; those that such buckets tie together meet as one family, each set once
     placed = found.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "level", F.coalesce("root", "cls").alias("comp"))
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("size")).where("x != y").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    cross = placed.join(open_, "key").join(vectors, ["cls", "level"])
+    open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("cls").alias("a")).where("x != y").select("key", "a")
+    left = materialize(placed.join(open_, "key").select("a", F.col("cls").alias("b"), "n", "level", "comp").distinct(), "open")
+    families = components(left.select("a", "b")).withColumnsRenamed({"node": "cls", "root": "key"})
+    cross = left.select(F.col("b").alias("cls"), "n", "level", "comp").distinct().join(families, "cls")
+    sizes = cross.groupBy("key", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    dealt = cross.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "vector")
-    grouped = dealt.repartition(buckets, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    dealt = cross.join(sizes, ["key", "level"]).join(vectors, ["cls", "level"]).withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "level", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "vector")
+    grouped = dealt.repartition(buckets, "key", "level", "low", "high").sortWithinPartitions("key", "level", "low", "high")
     more = materialize(verified(materialize(grouped.mapInArrow(_search(percent), "a long, b long").distinct(), "survivors")), "links")
     final = components(links.unionByName(more))
     joined = least.join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))

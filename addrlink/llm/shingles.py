@@ -2,7 +2,8 @@
 
 A set is held as sorted 64-bit hashes of its shingles. ``groups`` hashes tokens
 into m groups; a set's count vector has the number of its tokens in each group,
-so two sets overlap in at most the sum of the coordinate minima.
+so two sets overlap in at most the sum of the coordinate minima, less one for each
+group with equal counts and unequal content.
 
 Two sets that are similar enough differ in at most D tokens (both ways). With
 more than D groups some group holds the same tokens in both, so sets of one size
@@ -76,21 +77,43 @@ def levels(n: int, percent: int) -> list[tuple[int, int]]:
     return out
 
 
+def group_keys(tokens: np.ndarray, lv: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Groups that hold tokens, the keys of their contents, and the tokens in each."""
+    group = group_of(tokens, m)
+    order = np.argsort(group, kind="stable")
+    group = group[order]
+    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    part = np.add.reduceat(mix(tokens ^ U(0x9FB21C651E98DF25))[order], first)
+    return group[first], mix(mix(part) + _tag(lv) + group[first].astype(U)), np.diff(np.r_[first, len(group)])
+
+
+def _tag(lv: int) -> np.uint64:
+    return U(lv + 1) << U(40)
+
+
 def keys(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
     """Keys of a set at each of its levels."""
     n, out = len(tokens), []
-    value = mix(tokens ^ U(0x9FB21C651E98DF25))
     for lv, m in levels(n, percent):
-        group = group_of(tokens, m)
-        order = np.argsort(group, kind="stable")
-        group = group[order]
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        part = np.add.reduceat(value[order], first)
-        tag = U(lv + 1) << U(40)
-        found = mix(mix(part) + tag + group[first].astype(U))
-        largest = min(upper(lv) - 1, 100 * n // percent)
-        if len(first) <= most_apart(n, largest, percent):
-            empty = np.setdiff1d(np.arange(m), group[first]).astype(U)
-            found = np.concatenate([found, mix(tag + empty + U(0xE0 << 48))])
+        group, found, _ = group_keys(tokens, lv, m)
+        if len(group) <= most_apart(n, min(upper(lv) - 1, 100 * n // percent), percent):
+            empty = np.setdiff1d(np.arange(m), group).astype(U)
+            found = np.concatenate([found, mix(_tag(lv) + empty + U(0xE0 << 48))])
         out.append((lv, found))
     return out
+
+
+def vector(tokens: np.ndarray, lv: int, m: int) -> bytes:
+    """The count of each group (16 bits), then 32 bits of the key of its content (0 where it is empty)."""
+    group, key, count = group_keys(tokens, lv, m)
+    counts, marks = np.zeros(m, np.uint16), np.zeros(m, np.uint32)
+    counts[group] = np.minimum(count, 65_535)
+    marks[group] = (key >> U(32)).astype(np.uint32) | np.uint32(1)
+    return counts.tobytes() + marks.tobytes()
+
+
+def read_vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and marks of vectors of one level, a row each."""
+    m = len(raws[0]) // 6
+    both = np.frombuffer(b"".join(raws), np.uint8).reshape(len(raws), 6 * m)
+    return both[:, : 2 * m].copy().view(np.uint16), both[:, 2 * m :].copy().view(np.uint32)
