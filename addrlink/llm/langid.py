@@ -22,6 +22,7 @@ from .tokens import LOWER, slices
 
 BITS = 12
 BUCKETS = 1 << BITS
+ROWS = 500  # texts whose feature rows are held at once
 _LETTERS = LOWER.copy()
 for _b in range(128):
     if not chr(_b).isalpha():
@@ -113,7 +114,7 @@ def fit(docs: DataFrame, per_language: int = 1000) -> Model:
 
     def run(batches):
         for batch in batches:
-            for at, part in slices(batch.column(0)):
+            for at, part in slices(batch.column(0), rows=ROWS):
                 x = features(part)
                 rows = [np.flatnonzero(r).astype(np.uint16) for r in x]
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(at, len(part)), pa.array([r.tobytes() for r in rows], pa.binary()), pa.array([x[i, r].astype(np.float32).tobytes() for i, r in enumerate(rows)], pa.binary())], names=["lang", "at", "value"])
@@ -140,7 +141,7 @@ def identify(docs: DataFrame, model: Model | None = None, unsure: float = 0.02)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for batch in batches:
-            for at, part in slices(batch.column(2)):
+            for at, part in slices(batch.column(2), rows=ROWS):
                 letters = np.asarray(pc.match_substring_regex(part, r"\p{L}").to_numpy(zero_copy_only=False), bool)
                 if m.names:
                     k, score, margin = m.predict(features(part))
@@ -165,7 +166,7 @@ def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
     def run(batches):
         m = sent.value
         for batch in batches:
-            for at, part in slices(batch.column(batch.schema.names.index("text"))):
+            for at, part in slices(batch.column(batch.schema.names.index("text")), rows=ROWS):
                 known = np.asarray(pc.match_substring_regex(part, r"\p{L}").to_numpy(zero_copy_only=False), bool)
                 if m.names:
                     _, score, _ = m.predict(features(part))

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def _splitmix(n: int, seed: int) -> np.ndarray:
@@ -64,14 +64,14 @@ class Powers:
 _BYTES, _WORDS, _WORDS2 = Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F), Powers(0xD6E8FEB86659FD93)
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of rows with at most ``limit`` bytes of text (a longer text is a run of its own)."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 20_000) -> Iterator[tuple[int, pa.Array]]:
+    """Runs of at most ``rows`` rows with at most ``limit`` bytes of text (a longer text is a run of its own)."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
     at, offsets = 0, np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1)
+        to = min(at + rows, max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1))
         yield at, texts.slice(at, to - at)
         at = to
 
