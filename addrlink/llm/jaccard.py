@@ -40,8 +40,8 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def _describe(k: int, percent: int, buckets: int):
-    """Texts to rows (kind 0: doc_id, set size, class) and blocks of keys (kind 1: bucket, block)."""
+def _describe(k: int, percent: int, buckets: int, keyed: bool):
+    """Texts to rows (doc_id, set size, class), or, when ``keyed``, to blocks of keys (bucket, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -51,8 +51,9 @@ def _describe(k: int, percent: int, buckets: int):
                 names = np.array([shingles.name(s) if len(s) else 0 for s in sets], U)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 n = len(sets)
-                cols = [pa.array(np.zeros(n, np.int32)), batch.column(0).slice(at, n), pa.array(sizes), pa.array(signed(names), mask=sizes == 0), pa.array([None] * n, pa.int32()), pa.array([None] * n, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["kind", "doc_id", "n", "cls", "bucket", "raw"])
+                if not keyed:
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes), pa.array(signed(names), mask=sizes == 0)], names=["doc_id", "n", "cls"])
+                    continue
                 key, who, level = [], [], []
                 for d in range(n):
                     if sizes[d] >= shingles.FIRST and (c := int(names[d])) not in seen:
@@ -75,9 +76,7 @@ def _describe(k: int, percent: int, buckets: int):
                         docs_, where = np.unique(who[part_], return_inverse=True)
                         raws.append(pack(key[part_], where.reshape(-1).astype(np.uint16), level[part_], names[docs_], sizes[docs_].astype(np.uint32)))
                         to.append(b)
-                m = len(raws)
-                none = pa.array([None] * m, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(m, np.int32)), none, none, none, pa.array(to, pa.int32()), pa.array(raws, pa.binary())], names=["kind", "doc_id", "n", "cls", "bucket", "raw"])
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(raws, pa.binary())], names=["bucket", "raw"])
 
     return run
 
@@ -262,10 +261,10 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     """(doc_id, n, cls) of all rows, and component_id of all classes."""
     spark = docs.sparkSession
     rows, buckets = _rows(docs), partitions(spark)
-    schema = "kind int, doc_id long, n long, cls long, bucket int, raw binary"
-    all_rows = materialize(rows.mapInArrow(_describe(k, percent, buckets), schema), "sets")
-    described = all_rows.where("kind = 0").select("doc_id", "n", "cls")
-    found = materialize(all_rows.where("kind = 1").select("raw", "bucket").repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")
+    described = materialize(rows.mapInArrow(_describe(k, percent, buckets, False), "doc_id long, n long, cls long"), "sets")
+    # the keys are made in a pass of their own, straight into their shuffle: written first they would take as much disk again
+    blocks = rows.mapInArrow(_describe(k, percent, buckets, True), "bucket int, raw binary")
+    found = materialize(blocks.repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")
     least = described.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
     # count vectors of the classes that share a bucket, from one row of each; token sets of the few pairs that come to be verified
