@@ -105,31 +105,40 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     rows = _sealed(pages, id_col, url_col, html_col)
     marks = _markers(rows).select("id", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("payload"), "digest", "refers_to")
     both = marks.unionByName(rows.select("id", "url", "payload", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("refers_to")))
-    sorted_rows = both.repartitionByRange(shards or partitions(spark), "id").sortWithinPartitions("id", F.col("digest").isNull(), "digest", "url", F.col("payload"))
+    # archives are runs of ids of equal width, so that they depend on the rows alone; sampled borders differ from run to run
+    count = shards or 4 * partitions(spark)
+    low, high = rows.agg(F.min("id"), F.max("id")).first()
+    place = F.floor((F.col("id") - F.lit(low or 0)).cast("double") * count / float((high or 0) - (low or 0) + 1)).cast("int")
+    dealt = both.withColumn("shard", F.coalesce(F.least(place, F.lit(count - 1)), F.lit(0)))
+    sorted_rows = dealt.repartitionByRange(shards or partitions(spark), "shard").sortWithinPartitions("shard", "id", F.col("digest").isNull(), "digest", "url", F.col("payload"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         disk, top = _files(folder)
         context = TaskContext.get()
-        shard, attempt = context.partitionId(), f"{context.stageId()}-{context.attemptNumber()}-{context.taskAttemptId()}"
+        shard, attempt, part = 0, f"{context.stageId()}-{context.attemptNumber()}-{context.taskAttemptId()}", 0
         disk.create_dir(top, recursive=True)
         done, held, known, same = [], io.BytesIO(), {}, object()
         count = 0
         sink, digest, size, temporary = None, None, 0, ""
 
         def close():
-            nonlocal sink, count, size
+            nonlocal sink, count, size, part
             if sink is not None:
                 sink.write(held.getvalue())
                 held.seek(0)
                 held.truncate()
                 sink.close()
-                final = f"part-{shard:05d}-{len(done):05d}.warc.gz"
+                final = f"part-{shard:06d}-{part:05d}.warc.gz"
+                part += 1
                 disk.move(temporary, f"{top}/{final}")
                 done.append((final, count, size, digest.hexdigest()))
                 sink, count, size = None, 0, 0
 
         for batch in batches:
-            for page_id, url, payload, mark, refers_to in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for page_id, url, payload, mark, refers_to, at in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if at != shard:
+                    close()
+                    shard, part = at, 0
                 if page_id != same:
                     known, same = {}, page_id
                 if mark is not None:
@@ -141,7 +150,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
                 if page_id is not None:
                     known.setdefault(sha, page_id)  # a repeated row revisits the first one
                 if sink is None:
-                    temporary = f"{top}/_{attempt}-{shard:05d}-{len(done):05d}.tmp"
+                    temporary = f"{top}/_{attempt}-{shard:06d}-{part:05d}.tmp"
                     sink, digest = disk.open_output_stream(temporary, compression=None), hashlib.sha256()
                 held.write(data)
                 digest.update(data)
