@@ -56,7 +56,7 @@ def _describe(k: int, percent: int, buckets: int, keyed: bool):
                     continue
                 key, who, level = [], [], []
                 for d in range(n):
-                    if sizes[d] >= shingles.FIRST and (c := int(names[d])) not in seen:
+                    if sizes[d] >= shingles.least(percent) and (c := int(names[d])) not in seen:
                         seen.add(c)
                         for lv, x in shingles.keys(sets[d], percent):
                             key.append(x)
@@ -110,7 +110,7 @@ def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _chosen(k: int, rows, classes, describe, names: list[str], types: list):
+def _chosen(k: int, percent: int, rows, classes, describe, names: list[str], types: list):
     """Texts that pass both filters to rows of their sets: the class, then what ``describe`` tells of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,7 @@ def _chosen(k: int, rows, classes, describe, names: list[str], types: list):
             for _, part in slices(batch.column(1)):
                 cls, out = [], []
                 for s in shingles.sets(Words(part, lower=True), k):
-                    if len(s) >= shingles.FIRST and passes(classes.value, signed(np.array([c := shingles.name(s)], U)))[0]:
+                    if len(s) >= shingles.least(percent) and passes(classes.value, signed(np.array([c := shingles.name(s)], U)))[0]:
                         cls.append(c)
                         out.append(describe(s))
                 cols = list(zip(*out, strict=True)) if out else [[]] * len(names)
@@ -273,7 +273,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     hashed = rows.select(F.xxhash64(F.coalesce("doc_id", F.lit(0))).alias("h"), "text")
 
     def told(of: DataFrame, describe, names: list[str], types: list, schema: str) -> DataFrame:
-        return hashed.mapInArrow(_chosen(k, sieve_bits(of, "h"), sieve_bits(of, "cls"), describe, names, types), schema)
+        return hashed.mapInArrow(_chosen(k, percent, sieve_bits(of, "h"), sieve_bits(of, "cls"), describe, names, types), schema)
 
     at_levels = lambda s: ([lv for lv, _ in shingles.levels(len(s), percent)], [shingles.vector(s, lv, m) for lv, m in shingles.levels(len(s), percent)])
     held = materialize(told(one, at_levels, ["levels", "vectors"], [pa.list_(pa.int32()), pa.list_(pa.binary())], "cls long, levels array<int>, vectors array<binary>"), "vectors")

@@ -20,7 +20,6 @@ import numpy as np
 from .tokens import U, Words, mix
 
 RATIO = 1.6
-FIRST = 7  # the least size at which unequal sets can reach 85 of 100
 
 
 def sets(words: Words, k: int) -> list[np.ndarray]:
@@ -46,14 +45,19 @@ def name(tokens: np.ndarray) -> int:
     return int(mix(np.array([np.sum(mix(tokens ^ U(0x5851F42D4C957F2D)), dtype=U) + U(len(tokens))], U))[0])
 
 
-def upper(level: int) -> int:
+def least(percent: int) -> int:
+    """The least size of a set that can be similar to an unequal one: 100 * n >= percent * (n + 1)."""
+    return -(-percent // (100 - percent)) if percent < 100 else 2**62
+
+
+def upper(level: int, percent: int) -> int:
     """Sizes of a class are below this."""
-    return int(np.ceil(FIRST * RATIO ** (level + 1)))
+    return int(np.ceil(least(percent) * RATIO ** (level + 1)))
 
 
-def level(n: int) -> int:
-    out = max(0, int(np.log(n / FIRST) / np.log(RATIO)) - 1)
-    while n >= upper(out):
+def level(n: int, percent: int) -> int:
+    out = max(0, int(np.log(n / least(percent)) / np.log(RATIO)) - 1)
+    while n >= upper(out, percent):
         out += 1
     return out
 
@@ -70,9 +74,9 @@ def group_of(tokens: np.ndarray, m: int) -> np.ndarray:
 
 def levels(n: int, percent: int) -> list[tuple[int, int]]:
     """The classes that a set of n tokens takes part in, with their numbers of groups."""
-    own, out = level(n), []
-    for lv in (own, own + 1) if 100 * upper(own) * percent <= 100 * 100 * n else (own,):
-        m = most_apart(upper(lv) - 1, upper(lv) - 1, percent) + 1
+    own, out = level(n, percent), []
+    for lv in (own, own + 1) if 100 * upper(own, percent) * percent <= 100 * 100 * n else (own,):
+        m = most_apart(upper(lv, percent) - 1, upper(lv, percent) - 1, percent) + 1
         out.append((lv, m + m // 8 + 1))  # room for groups without tokens
     return out
 
@@ -96,7 +100,7 @@ def keys(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
     n, out = len(tokens), []
     for lv, m in levels(n, percent):
         group, found, _ = group_keys(tokens, lv, m)
-        if len(group) <= most_apart(n, min(upper(lv) - 1, 100 * n // percent), percent):
+        if len(group) <= most_apart(n, min(upper(lv, percent) - 1, 100 * n // percent), percent):
             empty = np.setdiff1d(np.arange(m), group).astype(U)
             found = np.concatenate([found, mix(_tag(lv) + empty + U(0xE0 << 48))])
         out.append((lv, found))

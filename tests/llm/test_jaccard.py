@@ -72,6 +72,29 @@ def test_components(spark, seed, k, percent):
     assert got == plain(docs, k, percent)
 
 
+@pytest.mark.parametrize(("k", "percent"), [(4, 85), (5, 80), (3, 60)])
+def test_short_texts_with_a_word_more(spark, k, percent):
+    rng = random.Random(4)
+    docs = []
+    for n in range(1, 16):
+        for _ in range(6):
+            w = [f"w{rng.randrange(10**6)}" for _ in range(n)]
+            docs += [" ".join(w), " ".join([*w, "more"]), " ".join(["more", *w])]
+    docs = list(enumerate(docs))
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string"), k, percent).collect())
+    assert got == plain(docs, k, percent)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_keys_of_short_similar_sets_meet(percent):
+    rng = np.random.default_rng(1)
+    for n in list(range(shingles.least(percent), 12)) * 300:
+        b = np.unique(rng.integers(0, 2**63, n + 1, dtype=np.uint64))
+        a = np.delete(b, rng.integers(n + 1))
+        ka, kb = (np.concatenate([x for _, x in shingles.keys(s, percent)]) for s in (a, b))
+        assert len(np.intersect1d(ka, kb))
+
+
 def test_one_of_each_component_stays(spark):
     docs = corpus(3)
     df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs] + [(3, docs[3][1], "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
