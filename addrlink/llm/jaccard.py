@@ -37,11 +37,11 @@ LEAF, BLOCK = 32, 2000
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
 
 
 def _describe(k: int, percent: int, buckets: int, keyed: bool):
-    """Texts to rows (doc_id, set size, class), or, when ``keyed``, to blocks of keys (bucket, block)."""
+    """Texts to rows (doc_id, set size, class, hash of the text), or, when ``keyed``, to blocks of keys (bucket, block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -52,7 +52,7 @@ def _describe(k: int, percent: int, buckets: int, keyed: bool):
                 sizes = np.array([len(s) for s in sets], np.int64)
                 n = len(sets)
                 if not keyed:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes), pa.array(signed(names), mask=sizes == 0)], names=["doc_id", "n", "cls"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes), pa.array(signed(names), mask=sizes == 0), batch.column(2).slice(at, n)], names=["doc_id", "n", "cls", "row"])
                     continue
                 key, who, level = [], [], []
                 for d in range(n):
@@ -240,28 +240,29 @@ def join(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each component: that of its least doc_id (of repeated ids, the least text); texts without words all stay.
 
-    Columns are unchanged. Rows with a null doc_id stay unless a linked row has an id.
+    Columns are unchanged. Rows go one by one, not by doc_id: other rows of an id stay.
+    A component of null ids only keeps one of its rows.
     """
     described, classes = _linked(docs, k, percent)
-    gone = described.join(classes, "cls").where("doc_id is null or doc_id != component_id").select(F.coalesce("doc_id", F.lit(-1)).alias("d"), "cls")
-    first = described.join(classes, "cls").where("doc_id = component_id").groupBy("component_id").agg(F.min("cls").alias("cls"), F.count("*").alias("rows"))
-    extra = first.where("rows > 1").select("component_id", F.col("cls").alias("kept_cls"))
-    gone = materialize(gone.where("d != -1").select("d").distinct(), "gone")
+    placed = described.join(classes, "cls").select(F.col("doc_id").alias("d"), F.col("row").alias("r"), "root", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("top"))
+    several = placed.where("top").groupBy("root").agg(F.count("*").alias("rows")).where("rows > 1")
+    # rows that go, and (with their component) rows of which one stays
+    named = materialize(placed.join(several, "root", "left").where("not top or rows is not null").select("d", "r", F.when(F.col("top"), F.col("root")).alias("root")).distinct(), "gone")
     # most rows are surely not gone and need not meet the list
-    maybe, sure = sieve_apart(docs, F.xxhash64(F.coalesce(docs["doc_id"].cast("long"), F.lit(0))), sieve_bits(gone.select(F.xxhash64("d").alias("h")), "h"))
-    lone = sure.unionByName(maybe.join(gone, maybe["doc_id"] == gone["d"], "left_anti"))
-    if extra.isEmpty():
-        return lone
-    ids = extra.select(F.col("component_id").alias("d"))
-    again = lone.join(ids, lone["doc_id"] == ids["d"], "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*lone.columns), F.coalesce("text", F.lit(""))).alias("row")).select("row.*")
-    return lone.join(ids, lone["doc_id"] == ids["d"], "left_anti").unionByName(again)
+    text, one = F.coalesce(docs["text"].cast("string"), F.lit("")), docs["doc_id"].cast("long")
+    maybe, sure = sieve_apart(docs, F.xxhash64(F.coalesce(one, F.lit(0)), F.xxhash64(text)), sieve_bits(named.select(F.xxhash64(F.coalesce("d", F.lit(0)), "r").alias("h")), "h"))
+    keyed = maybe.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_r"), *docs.columns)
+    match = F.col("_d").eqNullSafe(F.col("d")) & (F.col("_r") == F.col("r"))
+    lone = sure.unionByName(keyed.join(named, match, "left_anti").select(*docs.columns))
+    first = keyed.join(named.where("root is not null"), match).groupBy("root").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    return lone.unionByName(first.select("row.*"))
 
 
 def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, cls) of all rows, and component_id of all classes."""
+    """(doc_id, n, cls, hash of the text) of all rows, and root and component_id of all classes."""
     spark = docs.sparkSession
     rows, buckets = _rows(docs), partitions(spark)
-    described = materialize(rows.mapInArrow(_describe(k, percent, buckets, False), "doc_id long, n long, cls long"), "sets")
+    described = materialize(rows.mapInArrow(_describe(k, percent, buckets, False), "doc_id long, n long, cls long, row long"), "sets")
     # the keys are made in a pass of their own, straight into their shuffle: written first they would take as much disk again
     blocks = rows.mapInArrow(_describe(k, percent, buckets, True), "bucket int, raw binary")
     found = materialize(blocks.repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")
@@ -310,4 +311,4 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     final = components(links.unionByName(more))
     joined = least.join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     tops = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return described, joined.join(tops, "root").select("cls", "component_id")
+    return described, joined.join(tops, "root").select("cls", "root", "component_id")

@@ -104,6 +104,15 @@ def test_one_of_each_component_stays(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
 
+def test_rows_of_null_and_repeated_ids_go_one_by_one(spark):
+    text = lambda x: " ".join(f"{x}{i}" for i in range(30))
+    docs = [(1, text("a")), (2, text("a")), (2, text("b")), (None, text("a")), (None, text("c")), (None, text("c")), (None, text("c") + " more"), (None, text("d")), (-1, text("e")), (-2, text("e")), (5, text("f")), (5, text("f")), (5, text("f") + " more"), (None, None), (None, "")]
+    kept = jaccard.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    got = sorted((str(r.doc_id), str(r.text)) for r in kept)
+    want = [(1, text("a")), (2, text("b")), (None, text("c")), (None, text("d")), (-2, text("e")), (5, text("f")), (None, None), (None, "")]
+    assert got == sorted((str(i), str(t)) for i, t in want)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.join(df).count() == 0 and jaccard.keep_one(df).count() == 0
