@@ -151,15 +151,11 @@ def _first_two(parts):
             return
 
 
-def _by_blocks(one: DataFrame, benchmark: DataFrame, k: int, block_chars: int, with_spans: bool) -> DataFrame:
-    """A benchmark of many blocks: one scan a block, hits merged by row."""
+def _hits(keyed: DataFrame, benchmark: DataFrame, k: int, block_chars: int) -> DataFrame:
+    """(key, spans, items) of the rows (key, text) that hold a window, from one scan for each block of the benchmark."""
     from .common import materialize
 
-    spark = one.sparkSession
-    schema = COLUMNS + ", spans string" * with_spans
-    # rows that are equal in id and text have equal results, so this key may stand for all of them
-    keyed = one.withColumn("key", F.xxhash64("doc_id", "text"))
-    found = None
+    spark, found = keyed.sparkSession, None
     for part in blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(part)
 
@@ -178,6 +174,15 @@ def _by_blocks(one: DataFrame, benchmark: DataFrame, k: int, block_chars: int, w
         hits = materialize(keyed.select("key", "text").mapInArrow(run, "key long, spans array<long>, items array<string>"), "hits")
         sent.unpersist()
         found = hits if found is None else found.unionByName(hits)
+    return found
+
+
+def _by_blocks(one: DataFrame, benchmark: DataFrame, k: int, block_chars: int, with_spans: bool) -> DataFrame:
+    """A benchmark of many blocks: hits of the blocks merged by row."""
+    schema = COLUMNS + ", spans string" * with_spans
+    # rows that are equal in id and text have equal results, so this key may stand for all of them
+    keyed = one.withColumn("key", F.xxhash64("doc_id", "text"))
+    found = _hits(keyed, benchmark, k, block_chars)
     by_key = found.distinct().groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
     def finish(batches):
@@ -196,8 +201,9 @@ def drop(docs: DataFrame, benchmark: DataFrame, k: int = 10, block_chars: int =
     """``docs`` without the rows that hold a benchmark window; columns are unchanged, null and wordless texts stay."""
     parts = list(_first_two(blocks(benchmark, block_chars)))
     if len(parts) > 1:
-        hit = decontaminate(docs, benchmark, k, block_chars).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-        return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+        keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+        hit = _hits(keyed.select(F.col("_key").alias("key"), F.col("text").cast("string").alias("text")), benchmark, k, block_chars).select("key").distinct()
+        return keyed.join(hit, keyed["_key"] == hit["key"], "left_anti").select(*docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

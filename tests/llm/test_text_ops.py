@@ -101,6 +101,16 @@ def test_contamination(spark, block):
     assert decontaminate.decontaminate(frame(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize("block", [20_000_000, 40])
+def test_drop_decides_by_row(spark, block):
+    items = [(i, " ".join(f"item{i}word{j}" for j in range(12))) for i in range(4)]
+    docs = [(None, items[0][1]), (None, "clean one"), (7, "x " + items[3][1]), (7, "clean two"), (8, items[1][1] + " y"), (9, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.drop(frame(spark, docs), bench, block_chars=block)
+    assert sorted((str(r.doc_id), str(r.text)) for r in kept.collect()) == [("7", "clean two"), ("9", "None"), ("None", "clean one")]
+    assert kept.columns == frame(spark, docs).columns
+
+
 def test_contamination_spans(spark):
     text = "Zz, Alpha  beta-GAMMA! delta e f g h i j k q"
     bench = spark.createDataFrame([(1, "alpha beta gamma delta e f g h i j k")], "item_id long, text string")
