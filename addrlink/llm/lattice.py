@@ -124,28 +124,49 @@ class Vocabulary:
 
     def _long(self, chars: np.ndarray, logp: np.ndarray) -> float:
         """Forward recursion of one long word, a start at a time, in memory linear in its length."""
-        chars_, go, piece_at = chars.tolist(), self.go, self.piece_at
-        size = len(chars_)
-        alpha = np.full(size + 1, -np.inf)
+        return float(self._alphas(chars.tolist(), logp, {})[-1])
+
+    def _alphas(self, chars: list[int], logp: np.ndarray, memo: dict[int, tuple]) -> np.ndarray:
+        alpha = np.full(len(chars) + 1, -np.inf)
         alpha[0] = 0.0
-        memo: dict[int, list] = {}
-        for i in range(size):
-            node, k, base = 1, i, alpha[i]
-            while k < size:
-                key = node * 512 + chars_[k]
-                step = memo.get(key)
-                if step is None:
-                    to = int(go[node, chars_[k]])
-                    step = memo[key] = (to, float(logp[piece_at[to]]) if to and piece_at[to] >= 0 else None)
-                node, gain = step
-                if not node:
-                    break
-                k += 1
-                if gain is not None:
-                    a, b = alpha[k], base + gain
-                    hi, lo = (a, b) if a > b else (b, a)
-                    alpha[k] = hi + np.log1p(np.exp(lo - hi)) if lo > -np.inf else hi
-        return float(alpha[size])
+        for i in range(len(chars)):
+            base = alpha[i]
+            for k, _, gain in self._from(chars, i, logp, memo):
+                a, b = alpha[k], base + gain
+                hi, lo = (a, b) if a > b else (b, a)
+                alpha[k] = hi + np.log1p(np.exp(lo - hi)) if lo > -np.inf else hi
+        return alpha
+
+    def _from(self, chars: list[int], i: int, logp: np.ndarray, memo: dict[int, tuple]):
+        """(end, piece, weight) of the pieces that start at one place."""
+        node, size, go, piece_at = 1, len(chars), self.go, self.piece_at
+        for k in range(i, size):
+            key = node * 512 + chars[k]
+            step = memo.get(key)
+            if step is None:
+                to = int(go[node, chars[k]])
+                piece = int(piece_at[to]) if to else -1
+                step = memo[key] = (to, piece, float(logp[piece]) if piece >= 0 else None)
+            node, piece, gain = step
+            if not node:
+                return
+            if gain is not None:
+                yield k + 1, piece, gain
+
+    def expected_long(self, chars: np.ndarray, logp: np.ndarray, times: float, out: np.ndarray) -> None:
+        """``expected`` of one long word, in memory linear in its length."""
+        chars, memo = chars.tolist(), {}
+        alpha = self._alphas(chars, logp, memo)
+        total, beta = alpha[-1], np.full(len(alpha), -np.inf)
+        if total == -np.inf:
+            return
+        beta[-1] = 0.0
+        for i in range(len(chars) - 1, -1, -1):
+            for k, piece, gain in self._from(chars, i, logp, memo):
+                step = gain + beta[k]
+                if step > -np.inf:
+                    out[piece] += times * np.exp(alpha[i] + step - total)
+                    beta[i] = np.logaddexp(beta[i], step)
 
 
 _held: dict[str, Vocabulary] = {}

@@ -28,6 +28,7 @@ from .tokens import U, Words, mix, slices
 
 RUN_BYTES = 3_000_000
 CACHE_WORDS = 400_000
+LONGEST = 2000  # longer words are learned from one by one
 COLUMNS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -48,8 +49,9 @@ def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float]:
                 _, one, where = distinct(words)
                 times = np.bincount(where.reshape(-1), minlength=len(one)).astype(float)
                 for group, chars in voc.groups(words, one):
-                    if chars.shape[1] > 2000:  # memory of the two-way pass grows with the word: rows of single pieces' bytes
-                        np.add.at(counts, voc.piece_at[voc.go[1, chars]].reshape(-1), np.repeat(times[group], chars.shape[1]))
+                    if chars.shape[1] > LONGEST:  # memory of the pass over all rows at once grows with the word
+                        for g, c in zip(group, chars, strict=True):
+                            voc.expected_long(c, voc.first, times[g], counts)
                     else:
                         voc.expected(chars, voc.first, times[group], counts)
         at = np.flatnonzero(counts)

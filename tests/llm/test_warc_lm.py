@@ -131,3 +131,24 @@ def test_expected_counts_add_up():
         voc.expected(chars, voc.first, np.ones(len(group)), counts)
     sizes = np.array([len(p) for p in voc.pieces])
     assert (counts * sizes).sum() == pytest.approx(sum(len(w.encode()) + 1 for w in "the theory of éclairs".split()))
+
+
+def test_long_words_give_expected_counts(spark, monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from addrlink.llm.tokens import Words, slices
+
+    voc = lattice.vocabulary(VOCABULARY)
+    long = "theoryofunbrokenstringsé中文" * 90
+    ((_, part),) = slices(pa.array([long]))
+    ((_, chars),) = voc.groups(Words(part, lower=True), np.arange(1))
+    assert chars.shape[1] > lmscore.LONGEST
+    one, all_at_once = np.zeros(len(voc.pieces)), np.zeros(len(voc.pieces))
+    voc.expected_long(chars[0], voc.first, 2.0, one)
+    voc.expected(chars, voc.first, np.array([2.0]), all_at_once)
+    assert one == pytest.approx(all_at_once, rel=1e-9, abs=1e-12)
+    df = spark.createDataFrame([(1, long), (1, long)], "doc_id long, text string").selectExpr("*", "false AS held_out")
+    weights, end = lmscore.learn(df, VOCABULARY)
+    counts = np.exp(voc.first) * 100 + all_at_once
+    assert np.exp(weights) * (counts.sum() + 3) == pytest.approx(counts, rel=1e-9)
