@@ -2,8 +2,8 @@
 
 The vocabulary's pre-tokenizer never joins characters across white space, so the
 ids of a text are the ids of its space-separated words in turn. Each distinct
-word is encoded once per Python worker (bounded cache) and ids are dealt to
-texts with array operations. Words outside plain Latin letters, and whole texts
+word is encoded once per Python worker (a cache of bounded bytes, by the word
+itself) and ids are dealt to texts with array operations. Words outside plain Latin letters, and whole texts
 that hold the vocabulary's special strings, go through the library as they are.
 """
 
@@ -22,7 +22,7 @@ from .tokens import Words
 PLAIN = re.compile("[!-~À-įı-ſ]+")
 #: Fixed value: the vocabulary file's pre-tokenizer pattern, for plain lower-case words.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
-CACHE_WORDS = 1_000_000
+CACHE_BYTES = 48_000_000  # of words, ids and pieces held, by their usual size in Python
 
 
 def _byte_letters() -> dict[int, str]:
@@ -50,8 +50,9 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[int, int] = {}  # word hash -> number of the word
-        self.flat, self.used = np.empty(1 << 20, np.int32), 0
+        self.at: dict[bytes, int] = {}  # word -> its number
+        self.held = 0
+        self.flat, self.used = np.empty(1 << 18, np.int32), 0
         self.bound, self.count = np.zeros(1 << 16, np.int64), 0
         self.pieces.clear()
 
@@ -67,25 +68,28 @@ class Encoder:
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self.pieces[piece] = [x.id for x in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(LETTERS))]
+                self.held += 250 + 2 * len(piece) + 8 * len(ids)
             out += ids
         return out
 
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a slice."""
         words = Words(texts)
-        if len(self.at) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
         distinct, one, where = np.unique(words.hash, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
+        raw = words.data.tobytes()
+        keys = [raw[a:b] for a, b in zip(words.start[one].tolist(), words.end[one].tolist(), strict=True)]
         number = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
         for k in np.flatnonzero(number < 0).tolist():
-            ids = self.word(words.word(one[k]))
+            ids = self.word(keys[k])
             if self.used + len(ids) > len(self.flat):
                 self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.int32)])
             if self.count + 2 > len(self.bound):
                 self.bound = np.concatenate([self.bound, np.zeros(len(self.bound), np.int64)])
             self.flat[self.used : self.used + len(ids)] = ids
             self.used += len(ids)
+            self.held += 150 + len(keys[k]) + 4 * len(ids)
             number[k] = self.at[keys[k]] = self.count
             self.count += 1
             self.bound[self.count] = self.used
@@ -96,9 +100,8 @@ class Encoder:
         ids = self.flat[np.repeat(start - (to - size), size) + np.arange(int(to[-1]) if len(to) else 0)]
         cut = np.r_[0, to][words.first]
         out = [ids[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-        text = words.data.tobytes()
         for special in self.specials:
-            if (raw := special.encode()) in text:
+            if special.encode() in raw:
                 for d in range(len(texts)):
                     if special in (whole := texts[d].as_py()):
                         out[d] = np.asarray(self.encode(whole), np.int32)

@@ -4,8 +4,10 @@ A slice of an Arrow string column is looked at as one run of UTF-8 bytes: word
 borders, 64-bit word hashes and hashes of word windows come from whole-array
 operations, with no Python work per word. Nulls count as empty texts.
 
-Hashes are polynomials modulo 2**64 over random byte values, finished by a
-mixer; equal words have equal hashes in every task, run and machine.
+A word's hash sums a mixed term for each byte and place, a sequence's hash mixes
+those of two overlapping runs of a power of two words; neither is a polynomial, so
+no family of texts collides by its form. Equal words have equal hashes in every
+task, run and machine.
 """
 
 from __future__ import annotations
@@ -46,22 +48,27 @@ ALNUM = np.zeros(256, bool)  # bytes of words [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ on
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
 
 
-class Powers:
-    """Powers of an odd base and of its inverse, grown when a longer slice comes."""
+_places = mix(np.arange(1, 4097, dtype=U))  # a factor for each place in a word, grown when a longer word comes
 
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U)
 
-    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            m = 1 << (n - 1).bit_length()
-            self.up = np.cumprod(np.r_[U(1), np.full(m - 1, self.base, U)], dtype=U)
-            self.down = np.cumprod(np.r_[U(1), np.full(m - 1, self.inverse, U)], dtype=U)
-        return self.up, self.down
+def places(n: int) -> np.ndarray:
+    global _places
+    if len(_places) < n:
+        _places = mix(np.arange(1, (1 << (n - 1).bit_length()) + 1, dtype=U))
+    return _places[: max(n, 1)] | U(1)
 
 
-_BYTES, _WORDS, _WORDS2 = Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F), Powers(0xD6E8FEB86659FD93)
+def terms(values: np.ndarray, data: np.ndarray, place: np.ndarray, out: np.ndarray) -> None:
+    """What each byte adds to its word's hash, in runs that fit a processor's cache."""
+    factor = places(int(place.max()) + 1 if len(place) else 1)
+    for k in range(0, len(data), 32_768):
+        s = slice(k, k + 32_768)
+        t = values[data[s]]
+        t *= factor[place[s]]
+        t ^= t >> U(32)
+        t *= U(0xD6E8FEB86659FD93)
+        t ^= t >> U(29)
+        out[s] = t
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 20_000) -> Iterator[tuple[int, pa.Array]]:
@@ -79,7 +86,7 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int = 20_000) -> Ite
 class Words:
     """Words of a slice: ``start`` and ``end`` (bytes), ``hash``, and ``first[d]:first[d + 1]``, the words of text d."""
 
-    def __init__(self, texts: pa.Array, of: np.ndarray = SPACED, lower: bool = False):
+    def __init__(self, texts: pa.Array, of: np.ndarray = SPACED, lower: bool = False, hashes: bool = True):
         n = len(texts)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         base = int(offsets[0])
@@ -96,11 +103,30 @@ class Words:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.offsets, self.data, self.n = offsets, data, len(self.start)
-        up, down = _BYTES(len(data) + 1)
-        sums = np.zeros(len(data) + 1, U)
-        np.cumsum((LOWER_VALUES if lower else VALUES)[data] * up[: len(data)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
-        self.bytes_sums = sums
+        self._values, self._inside, self._runs = LOWER_VALUES if lower else VALUES, inside, {}
+        self.hash = self._hash(self.end - self.start, 0) if hashes else None
+
+    def _sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """Running sums of the terms of all bytes in words, and where each word starts in them."""
+        size = self.end - self.start
+        at = np.cumsum(size) - size
+        place = np.arange(int(size.sum()), dtype=np.int32) - np.repeat(at.astype(np.int32), size)
+        sums = np.zeros(len(place) + 1, U)
+        terms(self._values, self.data[self._inside], place, sums[1:])
+        np.cumsum(sums, out=sums)
+        return sums, at
+
+    def _hash(self, size: np.ndarray, tag: int) -> np.ndarray:
+        sums, at = self._sums()
+        return mix(sums[at + size] - sums[at] + size.astype(U) + U(tag))
+
+    def second(self) -> np.ndarray:
+        """Hashes of the words that are independent of ``hash``."""
+        held = self._values
+        self._values = mix(held ^ U(0x5851F42D4C957F2D))
+        out = self._hash(self.end - self.start, 0)
+        self._values = held
+        return out
 
     def text(self) -> np.ndarray:
         """The text that each word is in."""
@@ -109,20 +135,30 @@ class Words:
     def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Words of at least ``size`` bytes and hashes of their first ``size`` bytes."""
         at = np.flatnonzero(self.end - self.start >= size)
-        start = self.start[at]
-        _, down = _BYTES(len(self.data) + 1)
-        return at, mix((self.bytes_sums[start + size] - self.bytes_sums[start]) * down[start] + U(size))
-
-    def sums(self, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        up, down = (_WORDS2 if second else _WORDS)(self.n + 1)
-        out = np.zeros(self.n + 1, U)
-        np.cumsum(self.hash * up[: self.n], out=out[1:])
-        return out, down
+        return at, self._hash(np.minimum(self.end - self.start, size), size << 32)[at]
 
     def spans(self, at: np.ndarray, to: np.ndarray, second: bool = False) -> np.ndarray:
-        """Hashes of the word sequences at[i]:to[i]."""
-        sums, down = self.sums(second)
-        return mix((sums[to] - sums[at]) * down[at] + (to - at).astype(U))
+        """Hashes of the word sequences at[i]:to[i], of one word at least."""
+        size = np.asarray(to) - at
+        power = np.frexp(size.astype(float))[1] - 1
+        out = np.zeros(len(size), U)
+        for p in np.unique(power).tolist():
+            run, i = self._run(p, second), power == p
+            out[i] = mix(run[at[i]] + size[i].astype(U) * U(0xC2B2AE3D27D4EB4F) ^ mix(run[to[i] - (1 << p)]))
+        return out
+
+    def _run(self, power: int, second: bool) -> np.ndarray:
+        """A hash of the 2**power words from each word on (of use only where they lie in one text)."""
+        if (power, second) not in self._runs:
+            if not power:
+                self._runs[power, second] = self.second() if second else self.hash
+            else:
+                half = self._run(power - 1, second)
+                other = np.zeros_like(half)
+                k = 1 << power - 1
+                other[: max(0, len(half) - k)] = half[k:]
+                self._runs[power, second] = mix(half * U(0x9FB21C651E98DF25) + mix(other))
+        return self._runs[power, second]
 
     def window_starts(self, k: int) -> np.ndarray:
         """First words of all windows of k words that lie in one text."""
