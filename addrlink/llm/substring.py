@@ -1,23 +1,23 @@
 """Removal of word windows that occur more than once, by recompression.
 
-Each text is parsed in rounds: a round gives every symbol a side by its name,
-names each left-right pair anew and keeps runs of equal symbols apart (equal
-names have equal sides, so they never pair). A name is a hash of what it spans,
-so names agree over the whole corpus without a shuffle, and equal substrings have
-equal interior symbols. After three rounds a symbol spans at most 8 words, and a
-symbol border depends on 4 words at each side.
-
-Every window of ``window`` words contains a border at least CORE words from both
-of its ends, whatever the text; the one with the least hash of its 2*CORE words
-is the window's anchor. Equal windows have equal anchors at equal places, so only
-anchors whose core occurs twice are looked at further:
-
-1. anchors carry ``f``, the hash of the core, and ``g``, the hash of all words of
-   all windows that they serve; one shuffle counts cores with partial sums, so a
-   passage that a third of all texts share is no hot key;
-2. where all anchors of a core agree in ``g``, all their windows are repeated;
+Each text is parsed in rounds. A round first names every run of equal symbols by
+(symbol, length), then gives each symbol a side by its name and names every
+left-right pair anew. A name is a function of what it names, so names agree over
+the whole corpus; with each symbol goes the least word interval that decides it
+(its own words, and the neighbours that end its runs or do not pair with it).
+Equal windows hold equal symbols at equal places wherever they hold their whole
+intervals: the consistent interior symbols.
+
+A window's anchor is the least of its interior symbols of the highest round that
+has any; round 0, the words, always has. Only anchors that occur twice are looked
+at further:
+
+1. anchors carry ``f``, the name of the symbol and of its interval, and ``g``, 128
+   bits of all words of all windows that they serve; one shuffle counts symbols with
+   partial sums, so a passage that a third of all texts share is no hot key;
+2. where all anchors of a symbol agree in ``g``, all their windows are repeated;
 3. else one anchor for each distinct ``g`` is opened: its windows are compared by
-   128-bit hashes of their words, which verifies them.
+   128 bits of their words, which verifies them.
 
 Texts are shuffled once, by a hash of the row, and once more where anchors are opened.
 """
@@ -25,74 +25,128 @@ Texts are shuffled once, by a hash of the row, and once more where anchors are o
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sieve
+from .common import materialize, sieve, tidy
 from .tokens import U, Words, mix, signed, slices
 
-CORE, ROUNDS = 7, 3
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 COLUMNS = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
 
-def borders(words: Words) -> np.ndarray:
-    """Words at which a symbol of the last round starts."""
-    at, name, text = np.arange(words.n), words.hash, words.text()
-    for level in range(1, ROUNDS + 1):
-        if len(at) < 2:
-            break
-        left = (mix(name ^ U(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> U(63)) == 0
-        pair = left[:-1] & ~left[1:] & (text[:-1] == text[1:])
-        second = np.r_[False, pair]
-        first = np.r_[pair, False]
-        joined = mix(name + U(level) + mix(np.r_[name[1:], U(0)] ^ U(0xD1B54A32D192ED03)))
-        name, at, text = np.where(first, joined, name)[~second], at[~second], text[~second]
-    return at
+class Symbols(NamedTuple):
+    """Symbols of one round in text order: names, first words, and the word intervals [low, high) that decide them."""
 
+    name: np.ndarray
+    at: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
-def least(value: np.ndarray, width: int) -> np.ndarray:
-    """For each i the first place of the least of value[i:i + width]."""
-    best, span = np.arange(len(value)), 1
-    while span < width:
-        step = min(span, width - span)
-        other = best[step:]
-        kept = best[: len(other)]
-        best = np.where(value[kept] <= value[other], kept, other)
-        span += step
-    return best
 
+def rounds_for(window: int) -> int:
+    """Rounds after which a symbol is usually decided by half a window: each leaves about three symbols of four."""
+    out, around, size = 0, 0.0, 1.0
+    while around + 4 * size + size / 0.75 <= window / 2 + 2:
+        around, size, out = around + 4 * size, size / 0.75, out + 1
+    return max(1, out)
 
-def anchors(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each anchor: its word, core hash, hash of all it serves, first window served, number of windows."""
+
+def parse(words: Words, rounds: int) -> list[Symbols]:
+    """The symbols of every round, words first."""
+    text = words.text()
+    before, after = words.first[text] - 1, words.first[text + 1] + 1  # beyond the text: no window holds them
+    at = np.arange(words.n)
+    out = [Symbols(words.hash, at, at, at + 1)]
+    for level in range(1, rounds + 1):
+        name, at, low, high = out[-1]
+        if not len(at):
+            break
+        doc = text[at]
+        # runs of equal symbols; where one ends shows in its neighbours
+        new = np.r_[True, (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])]
+        head = np.flatnonzero(new)
+        size = np.diff(np.r_[head, len(at)])
+        tail = head + size - 1
+        low, high = _beside(low, high, head, tail, doc, before[at], after[at])
+        name, at, doc = name[head], at[head], doc[head]
+        name = np.where(size > 1, mix(name + mix(size.astype(U) + U(level << 40))), name)
+        # pairs of a left and a right symbol; one that does not pair is decided by the neighbour that it might have paired with
+        left = mix(name ^ U(level * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) >> U(63) == 0
+        pair = np.r_[left[:-1] & ~left[1:] & (doc[:-1] == doc[1:]), False]
+        second = np.r_[False, pair[:-1]]
+        near_low, near_high = _beside(low, high, np.arange(len(at)), np.arange(len(at)), doc, before[at], after[at])
+        joined = mix(name + U(level) + mix(np.r_[name[1:], U(0)] ^ U(0xD1B54A32D192ED03)))
+        low = np.where(pair | left, low, near_low)
+        high = np.where(pair, np.r_[high[1:], 0], np.where(left, near_high, high))
+        name = np.where(pair, joined, name)
+        out.append(Symbols(name[~second], at[~second], low[~second], high[~second]))
+    return out
+
+
+def _beside(low, high, head, tail, doc, before, after) -> tuple[np.ndarray, np.ndarray]:
+    """Intervals of the runs head..tail of symbols with the symbols next to them; at a text's ends, beyond it."""
+    prior, later = np.maximum(head - 1, 0), np.minimum(tail + 1, len(doc) - 1)
+    inner = (head > 0) & (doc[prior] == doc[head])
+    outer = (tail < len(doc) - 1) & (doc[later] == doc[tail])
+    return np.where(inner, low[prior], before[head]), np.where(outer, high[later], after[tail])
+
+
+def least(value: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """For each range first[i]:end[i] (not empty) the first place of its least value."""
+    power = np.frexp((end - first).astype(float))[1] - 1
+    best, out = np.arange(len(value)), np.empty(len(first), np.int64)
+    for p in range(int(power.max()) + 1 if len(power) else 0):
+        if p:
+            k = 1 << p - 1
+            other = best[k:]
+            mine = best[: len(other)]
+            best = np.where(value[mine] <= value[other], mine, other)
+        i = np.flatnonzero(power == p)
+        a, b = best[first[i]], best[end[i] - (1 << p)]
+        out[i] = np.where(value[a] <= value[b], a, b)
+    return out
+
+
+def anchors(words: Words, window: int, rounds: int | None = None) -> tuple[np.ndarray, ...]:
+    """For each anchor: its word, symbol name, two hashes of all it serves, first window served, number of windows."""
     start = words.window_starts(window)
-    empty = np.zeros(0, np.int64)
     if not len(start):
-        return empty, empty.view(U), empty.view(U), empty, empty
-    at = borders(words)
-    text_of = words.text()
-    inner = at[(at - CORE >= words.first[text_of[at]]) & (at + CORE <= words.first[text_of[at] + 1])]
-    value = np.full(words.n, np.iinfo(np.uint64).max, U)
-    core = words.spans(inner - CORE, inner + CORE)
-    value[inner] = core >> U(1)  # below the value of words that are no border
-    chosen = least(value, window - 2 * CORE + 1)[start + CORE]
-    new = np.r_[True, (chosen[1:] != chosen[:-1]) | (start[1:] != start[:-1] + 1)]
-    p, first = chosen[new], start[new]
+        empty = np.zeros(0, np.int64)
+        return empty, empty.view(U), empty.view(U), empty.view(U), empty, empty
+    levels = parse(words, rounds or rounds_for(window))
+    place, name = np.empty(len(start), np.int64), np.empty(len(start), U)
+    todo = np.arange(len(start))
+    for level in range(len(levels) - 1, -1, -1):
+        if not len(todo):
+            break
+        of, s = levels[level], start[todo]
+        # intervals begin and end in the order of the symbols
+        count = np.bincount(np.maximum(of.low, 0) + (of.low >= 0), minlength=words.n + 2)
+        first = np.cumsum(count)[s]
+        end = np.cumsum(np.bincount(of.high, minlength=words.n + 2))[s + window]
+        has = end > first
+        k = least(of.name, first[has], end[has])
+        place[todo[has]] = of.at[k]
+        decided = words.spans(of.low[k], of.high[k])
+        name[todo[has]] = mix(of.name[k] + U(level) ^ mix(decided + (of.at[k] - of.low[k]).astype(U)))
+        todo = todo[~has]
+    new = np.r_[True, (place[1:] != place[:-1]) | (name[1:] != name[:-1]) | (start[1:] != start[:-1] + 1)]
+    p, first, f = place[new], start[new], name[new]
     count = np.diff(np.r_[np.flatnonzero(new), len(start)])
-    f = core[np.searchsorted(inner, p)]
-    g = mix(words.spans(first, first + count + window - 1, second=True) + (p - first).astype(U) * U(64) + count.astype(U))
-    return p, f, g, first, count
+    shape = mix((p - first).astype(U) * U(1 << 32) + count.astype(U))
+    g, h = (mix(words.spans(first, first + count + window - 1, second) ^ shape) for second in (False, True))
+    return p, f, g, h, first, count
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """Rows with a key: rows of one key are equal in id and text, so they have equal results."""
+    """Rows with a key of 128 bits: rows of one key are equal in id and text, so they have equal results."""
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return one.withColumn("key", F.xxhash64("doc_id", "text"))
+    return one.withColumn("key", F.xxhash64("doc_id", "text")).withColumn("key2", F.xxhash64(F.lit(7), "text", "doc_id"))
 
 
 def removals(rows: DataFrame, window: int = 35) -> DataFrame:
@@ -100,60 +154,65 @@ def removals(rows: DataFrame, window: int = 35) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = np.asarray(batch.column(0))
-            for at, part in slices(batch.column(1)):
+            keys, keys2 = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            for at, part in slices(batch.column(2)):
                 words = Words(part)
-                p, f, g, first, count = anchors(words, window)
+                p, f, g, h, first, count = anchors(words, window)
                 doc = np.searchsorted(words.first, p, "right") - 1
-                pos = (first - words.first[doc]) << 6 | count
-                yield pa.RecordBatch.from_arrays([pa.array(signed(f)), pa.array(signed(g)), pa.array(keys[at + doc]), pa.array(pos)], names=["f", "g", "key", "pos"])
+                cols = [signed(f), signed(g), signed(h), keys[at + doc], keys2[at + doc], (first - words.first[doc]).astype(np.int32), count.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["f", "g", "h", "key", "key2", "start", "count"])
+        tidy()
 
-    found = materialize(rows.select("key", "text").mapInArrow(find, "f long, g long, key long, pos long"), "anchors")
-    twice = found.groupBy("f").agg(F.count("*").alias("n"), F.min("g").alias("low"), F.max("g").alias("high")).where("n > 1").select("f", (F.col("low") != F.col("high")).alias("mixed"))
-    twice = materialize(twice, "twice")
+    found = materialize(rows.select("key", "key2", "text").mapInArrow(find, "f long, g long, h long, key long, key2 long, start int, count int"), "anchors")
+    mixed = (F.min("g") != F.max("g")) | (F.min("h") != F.max("h"))
+    twice = materialize(found.groupBy("f").agg(F.count("*").alias("n"), mixed.alias("mixed")).where("n > 1").drop("n"), "twice")
     shared = materialize(sieve(found, "f", twice).join(twice, "f"), "shared")
-    start, size = F.shiftright("pos", 6), F.col("pos").bitwiseAND(63)
-    whole = shared.where("not mixed").select("key", start.alias("start"), (start + size + window - 1).alias("end"))
+    whole = shared.where("not mixed").select("key", "key2", "start", (F.col("start") + F.col("count") + window - 1).alias("end"))
 
     mixed = shared.where("mixed")
-    by_g = mixed.groupBy("f", "g").agg(F.count("*").alias("n"), F.min(F.struct("key", "pos")).alias("one"))
-    opened = by_g.select(F.col("one.key").alias("key"), F.struct("f", "g", F.col("one.pos").alias("pos")).alias("anchor")).groupBy("key").agg(F.collect_list("anchor").alias("anchors"))
+    by_g = mixed.groupBy("f", "g", "h").agg(F.count("*").alias("n"), F.min(F.struct("key", "key2", "start", "count")).alias("one"))
+    opened = by_g.select("one.key", "one.key2", F.struct("f", "g", "h", F.col("one.start").alias("start"), F.col("one.count").alias("count")).alias("anchor")).groupBy("key", "key2").agg(F.collect_list("anchor").alias("anchors"))
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
-            for at, part in slices(batch.column(1)):
+            lists = batch.column(1)
+            for at, part in slices(batch.column(0)):
                 words = Words(part)
                 mine = lists.slice(at, len(part))
                 doc = np.repeat(np.arange(len(part)), np.asarray(mine.value_lengths()))
                 flat = mine.flatten()
-                f, g, pos = (np.asarray(flat.field(k)) for k in range(3))
-                count = pos & 63
-                which = np.repeat(np.arange(len(pos)), count)
+                f, g, h, start, count = (np.asarray(flat.field(k)) for k in range(5))
+                which = np.repeat(np.arange(len(start)), count)
                 nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-                s = words.first[doc[which]] + (pos[which] >> 6) + nth
-                yield pa.RecordBatch.from_arrays([pa.array(f[which]), pa.array(g[which]), pa.array(nth), pa.array(signed(words.spans(s, s + window))), pa.array(signed(words.spans(s, s + window, second=True)))], names=["f", "g", "nth", "w1", "w2"])
+                s = words.first[doc[which]] + start[which] + nth
+                cols = [f[which], g[which], h[which], nth.astype(np.int32), signed(words.spans(s, s + window)), signed(words.spans(s, s + window, second=True))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["f", "g", "h", "nth", "w1", "w2"])
+        tidy()
 
     # a row that is there twice sends its windows twice; they are repeated anyway
     opened = materialize(opened, "opened")
-    opened_texts = sieve(rows.select("text", "key"), "key", opened).join(opened, "key").select("key", "text", "anchors")
-    windows = materialize(opened_texts.mapInArrow(compare, "f long, g long, nth long, w1 long, w2 long"), "windows")
+    opened_texts = sieve(rows, "key", opened).join(opened, ["key", "key2"]).select("text", "anchors")
+    windows = materialize(opened_texts.mapInArrow(compare, "f long, g long, h long, nth int, w1 long, w2 long"), "windows")
     again = windows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("nth").cast("int"))
-    masks = windows.join(again, ["w1", "w2"], "left_semi").select("f", "g", bit.alias("bit")).groupBy("f", "g").agg(F.bit_or("bit").alias("mask"))
-    known = by_g.select("f", "g", "n").join(masks, ["f", "g"], "left").select("f", "g", F.when(F.col("n") > 1, F.lit(-1).cast("long")).otherwise(F.col("mask")).alias("mask")).where("mask is not null")
-    known = materialize(known, "known")  # both sides of the join are then dealt by it, and a hot core can be split
-    partly = mixed.join(known, ["f", "g"]).select("key", F.explode(F.filter(F.transform(F.sequence(F.lit(0), size.cast("int") - 1), lambda i: F.when(F.call_function("shiftright", F.col("mask"), i).bitwiseAND(1) == 1, start + i)), lambda x: x.isNotNull())).alias("start")).select("key", "start", (F.col("start") + window).alias("end"))
-    spans = whole.unionByName(partly).groupBy("key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return spans
-
-
-def removed(n: int, spans) -> np.ndarray:
-    """Which of n words the intervals cover."""
-    edge = np.zeros(n + 1, np.int64)
-    for s in spans:
-        edge[s["start"]] += 1
-        edge[s["end"]] -= 1
-    return np.cumsum(edge[:-1]) > 0
+    nths = windows.join(again, ["w1", "w2"], "left_semi").groupBy("f", "g", "h").agg(F.collect_set("nth").alias("nths"))
+    all_of = F.sequence(F.lit(0), F.col("one.count") - 1)
+    known = by_g.join(nths, ["f", "g", "h"], "left").select("f", "g", "h", F.when(F.col("n") > 1, all_of).otherwise(F.col("nths")).alias("nths")).where("nths is not null")
+    known = materialize(known, "known")  # both sides of the join are then dealt by it, and a hot symbol can be split
+    partly = mixed.join(known, ["f", "g", "h"]).select("key", "key2", F.explode(F.transform("nths", lambda i: F.col("start") + i)).alias("start")).select("key", "key2", "start", (F.col("start") + window).alias("end"))
+    return whole.unionByName(partly).groupBy("key", "key2").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+
+
+def kept_words(words: Words, gone: np.ndarray) -> list[bytes]:
+    """Each text's words that are not gone, joined by one space."""
+    text = words.text()
+    start, size = words.start[~gone], (words.end - words.start)[~gone] + 1
+    to = np.cumsum(size)
+    at = np.arange(int(to[-1]) if len(to) else 0) + np.repeat(start - (to - size), size)
+    line = words.data[np.minimum(at, max(len(words.data) - 1, 0))]
+    line[to - 1] = 32
+    line = line.tobytes()
+    edge = np.r_[0, to][np.searchsorted(text[~gone], np.arange(len(words.first)))].tolist()
+    return [line[a : max(a, b - 1)] for a, b in zip(edge[:-1], edge[1:], strict=True)]
 
 
 def dedup(docs: DataFrame, window: int = 35, with_text: bool = False) -> DataFrame:
@@ -161,26 +220,29 @@ def dedup(docs: DataFrame, window: int = 35, with_text: bool = False) -> DataFra
 
     Null and empty texts have no words. Texts of fewer than ``window`` words keep
     all. Repeated rows are texts of their own, so all their windows are repeated.
-    A null doc_id stays null; an empty table gives no rows; other columns are not
-    read. ``with_text`` adds the kept words joined by one space.
+    Any window of one word or more will do. A null doc_id stays null; an empty
+    table gives no rows; other columns are not read. Of a very long text memory
+    is proportional to it, in one task. ``with_text`` adds the kept words joined
+    by one space.
     """
     rows = _rows(docs)
     spans = removals(rows, window)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                words, n = WORD.findall(text), 0
-                if gone:
-                    cut = removed(len(words), gone)
-                    n = int(cut.sum())
-                    kept = " ".join([w for w, c in zip(words, cut.tolist(), strict=True) if not c])
-                else:
-                    kept = " ".join(words)
-                out.append((len(words), n, hashlib.sha256(kept.encode("utf-8")).hexdigest(), kept))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 4
-            data = [batch.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())]
-            yield pa.RecordBatch.from_arrays(data + [pa.array(cols[3], pa.string())] * with_text, names=["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text)
-
-    return rows.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(finish, COLUMNS + ", kept string" * with_text)
+            lists = batch.column(2)
+            for at, part in slices(batch.column(1)):
+                words, mine = Words(part, hashes=False), lists.slice(at, len(part))
+                per = np.asarray(mine.value_lengths().fill_null(0))
+                flat = mine.flatten()
+                base = np.repeat(words.first[:-1], per)
+                edge = np.bincount(base + np.asarray(flat.field(0)), minlength=words.n + 1) - np.bincount(base + np.asarray(flat.field(1)), minlength=words.n + 1)
+                gone = np.cumsum(edge[: words.n]) > 0
+                n = np.diff(words.first)
+                removed = np.bincount(words.text()[gone], minlength=len(part))
+                kept = kept_words(words, gone)
+                data = [batch.column(0).slice(at, len(part)), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in kept])]
+                yield pa.RecordBatch.from_arrays(data + [pa.array([x.decode("utf-8") for x in kept], pa.string())] * with_text, names=["doc_id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text)
+        tidy()
+
+    return rows.join(spans, ["key", "key2"], "left").select("doc_id", "text", "spans").mapInArrow(finish, COLUMNS + ", kept string" * with_text)

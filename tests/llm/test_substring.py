@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from addrlink.llm.tokens import Words, slices
 
 def plain(docs, window):
     at = {}
-    split = [substring.WORD.findall(t or "") for _, t in docs]
+    split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in docs]
     for d, w in enumerate(split):
         for s in range(len(w) - window + 1):
             at.setdefault(tuple(w[s : s + window]), []).append((d, s))
@@ -66,13 +67,37 @@ def test_empty(spark):
     assert substring.dedup(df).count() == 0
 
 
-def test_borders_are_near_and_local():
+@pytest.mark.parametrize("window", [1, 2, 10, 100])
+def test_other_windows(spark, window):
+    rng = random.Random(window)
+    docs = corpus(4)[:50]
+    check(spark, [*docs, (90, " ".join(["x"] * 250)), (91, " ".join(["x", "y"] * 90)), (92, " ".join(rng.choice("ab") for _ in range(400)))], window)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(3)
+    passage = [f"p{rng.random()}" for _ in range(60)]
+    long = [rng.choice(["a", "b", f"u{rng.random()}"]) for _ in range(250_000)]
+    long[1000:1060] = long[200_000:200_060] = passage
+    check(spark, [(1, " ".join(long)), (2, " ".join(passage)), (3, "x " * 200_000), (4, "w" * 3_000_000)], 35)
+
+
+def symbols(text, level):
+    ((_, part),) = slices(pa.array([text]))
+    return substring.parse(Words(part), level)[level]
+
+
+@pytest.mark.parametrize("level", [1, 2, 3, 4])
+def test_interior_symbols_are_the_same_in_every_context(level):
     rng = random.Random(8)
-    ws = [rng.choice(["a", "b", "c", f"u{rng.random()}"]) for _ in range(3000)]
-    ((_, part),) = slices(pa.array([" ".join(ws), " ".join(ws[100:400])]))
-    words = Words(part)
-    at = substring.borders(words)
-    assert np.diff(at).max() <= 8
-    long, short = at[at < 3000], at[at >= 3000] - 3000 + 100
-    inside = lambda x: set(x[(x >= 104) & (x < 396)].tolist())
-    assert inside(long) == inside(short)
+    ws = [rng.choice(["a", "a", "b", "c", f"u{rng.random()}"]) for _ in range(3000)]
+    whole, part = symbols(" ".join(ws), level), symbols(" ".join(["q", *ws[100:400], "r", "s"]), level)
+    inside = lambda x, shift: {(int(n), int(a) + shift, int(lo) + shift, int(hi) + shift) for n, a, lo, hi in zip(*x, strict=True) if lo + shift >= 100 and hi + shift <= 400}
+    assert inside(whole, 0) == inside(part, 99) and len(inside(whole, 0)) > 10
+    for x in (whole, part):
+        assert (np.diff(x.low) >= 0).all() and (np.diff(x.high) >= 0).all() and (np.diff(x.at) > 0).all()
+
+
+def test_runs_are_one_symbol():
+    a, b, c = (symbols(f"x y {'a ' * n}z x", 1) for n in (30, 30, 31))
+    assert len(a.at) <= 5 and a.name.tolist() == b.name.tolist() != c.name.tolist()
