@@ -30,10 +30,21 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the shared folder and read it back: lineage ends there and survives lost executors."""
+    """Write ``df`` as Parquet under the shared folder and read it back: lineage ends there and survives lost executors.
+
+    The shuffle files of the write go when it has ended, since nothing needs them any more.
+    """
     spark, at = df.sparkSession, scratch(df.sparkSession, name)
-    df.write.parquet(at)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(at)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(at)
 
 
