@@ -6,12 +6,15 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tokens import slices
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` where set, else one of our own (tests)."""
@@ -97,10 +100,23 @@ def sieve(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, longer where a column has it already (in any case)."""
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
+
+
+def runs(batch: pa.RecordBatch, column: str | int) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of bounded bytes of a text column."""
+    for at, part in slices(batch.column(column)):
+        yield batch.slice(at, len(part))
+
+
 def sieve_apart(df: DataFrame, value: Column, bits) -> tuple[DataFrame, DataFrame]:
     """(rows whose 64-bit ``value`` may be in the filter, rows whose value is not), each in one pass without a shuffle."""
     names = df.columns
-    keyed = df.select(value.alias("_sieve"), *names)
+    keyed = df.select(value.alias(fresh("_sieve", names)), *names)
 
     def side(inside: bool) -> DataFrame:
         def run(batches):

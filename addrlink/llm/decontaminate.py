@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh, materialize, runs
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {65 + i: 97 + i for i in range(26)}
 COLUMNS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
@@ -125,7 +127,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 10, block_char
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = automaton(sent.value, k)
         names = [x[0] for x in sent.value]
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, 1)):
             rows = []
             for text in batch.column(1).to_pylist():
                 n, spans, items = scan(text, search, k)
@@ -153,15 +155,13 @@ def _first_two(parts):
 
 def _hits(keyed: DataFrame, benchmark: DataFrame, k: int, block_chars: int) -> DataFrame:
     """(key, spans, items) of the rows (key, text) that hold a window, from one scan for each block of the benchmark."""
-    from .common import materialize
-
     spark, found = keyed.sparkSession, None
     for part in blocks(benchmark, block_chars):
         sent = spark.sparkContext.broadcast(part)
 
         def run(batches, sent=sent):
             search = automaton(sent.value, k)
-            for batch in batches:
+            for batch in (part for whole in batches for part in runs(whole, 1)):
                 keys, spans_of, items_of = [], [], []
                 for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     _, spans, items = scan(text, search, k)
@@ -201,14 +201,15 @@ def drop(docs: DataFrame, benchmark: DataFrame, k: int = 10, block_chars: int =
     """``docs`` without the rows that hold a benchmark window; columns are unchanged, null and wordless texts stay."""
     parts = list(_first_two(blocks(benchmark, block_chars)))
     if len(parts) > 1:
-        keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-        hit = _hits(keyed.select(F.col("_key").alias("key"), F.col("text").cast("string").alias("text")), benchmark, k, block_chars).select("key").distinct()
-        return keyed.join(hit, keyed["_key"] == hit["key"], "left_anti").select(*docs.columns)
+        name = fresh("_key", docs.columns)
+        keyed = docs.withColumn(name, F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+        hit = _hits(keyed.select(F.col(name).alias("key"), F.col("text").cast("string").alias("text")), benchmark, k, block_chars).select("key").distinct()
+        return keyed.join(hit, keyed[name] == hit["key"], "left_anti").select(*docs.columns)
     sent = docs.sparkSession.sparkContext.broadcast(parts[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = automaton(sent.value, k)
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, "text")):
             texts = batch.column(batch.schema.names.index("text")).to_pylist()
             yield batch.filter(pa.array([not scan(t, search, k)[1] for t in texts], pa.bool_()))
 

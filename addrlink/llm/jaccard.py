@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .blocks import pack, unpack
-from .common import materialize, partitions, passes, sieve_apart, sieve_bits
+from .common import materialize, partitions, passes, sieve_apart, sieve_bits, tidy
 from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
 LEAF, BLOCK = 32, 2000
+BUCKET = 4_000_000  # shingles whose keys a bucket holds, on average
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -77,6 +78,7 @@ def _describe(k: int, percent: int, buckets: int, keyed: bool):
                         raws.append(pack(key[part_], where.reshape(-1).astype(np.uint16), level[part_], names[docs_], sizes[docs_].astype(np.uint32)))
                         to.append(b)
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(raws, pa.binary())], names=["bucket", "raw"])
+        tidy()
 
     return run
 
@@ -103,6 +105,8 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = slice(at, at + 200_000)
         cols = [signed(key[many][s]), signed(cls[many][s]), size[many][s].astype(np.int64), level[many][s].astype(np.int32), signed(cls[head][s]), size[head][s].astype(np.int64)]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "cls", "n", "level", "centre", "centre_n"])
+    del key, cls, size, level, order, head, many, kept
+    tidy()
 
 
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
@@ -251,18 +255,20 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     # most rows are surely not gone and need not meet the list
     text, one = F.coalesce(docs["text"].cast("string"), F.lit("")), docs["doc_id"].cast("long")
     maybe, sure = sieve_apart(docs, F.xxhash64(F.coalesce(one, F.lit(0)), F.xxhash64(text)), sieve_bits(named.select(F.xxhash64(F.coalesce("d", F.lit(0)), "r").alias("h")), "h"))
-    keyed = maybe.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_r"), *docs.columns)
+    held = F.struct(*(maybe[c] for c in docs.columns))
+    keyed = maybe.select(F.col("doc_id").cast("long").alias("_d"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("_r"), held.alias("_row"))
     match = F.col("_d").eqNullSafe(F.col("d")) & (F.col("_r") == F.col("r"))
-    lone = sure.unionByName(keyed.join(named, match, "left_anti").select(*docs.columns))
-    first = keyed.join(named.where("root is not null"), match).groupBy("root").agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row"))
+    lone = sure.unionByName(keyed.join(named, match, "left_anti").select("_row.*"))
+    first = keyed.join(named.where("root is not null"), match).groupBy("root").agg(F.min_by("_row", F.coalesce(F.col("_row.text").cast("string"), F.lit(""))).alias("row"))
     return lone.unionByName(first.select("row.*"))
 
 
 def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, cls, hash of the text) of all rows, and root and component_id of all classes."""
     spark = docs.sparkSession
-    rows, buckets = _rows(docs), partitions(spark)
-    described = materialize(rows.mapInArrow(_describe(k, percent, buckets, False), "doc_id long, n long, cls long, row long"), "sets")
+    rows = _rows(docs)
+    described = materialize(rows.mapInArrow(_describe(k, percent, 1, False), "doc_id long, n long, cls long, row long"), "sets")
+    buckets = max(partitions(spark), -(-(described.agg(F.sum("n")).first()[0] or 0) // BUCKET))  # a worker holds one bucket
     # the keys are made in a pass of their own, straight into their shuffle: written first they would take as much disk again
     blocks = rows.mapInArrow(_describe(k, percent, buckets, True), "bucket int, raw binary")
     found = materialize(blocks.repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")

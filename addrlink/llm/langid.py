@@ -18,11 +18,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy
 from .tokens import LOWER, slices
 
 BITS = 12
 BUCKETS = 1 << BITS
-ROWS = 500  # texts whose feature rows are held at once
+ROWS = 250  # texts whose feature rows are held at once
 _LETTERS = LOWER.copy()
 for _b in range(128):
     if not chr(_b).isalpha():
@@ -153,13 +154,19 @@ def identify(docs: DataFrame, model: Model | None = None, unsure: float = 0.02)
                     [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)), pa.array(np.where(letters, names, "und"), pa.string()), pa.array(np.where(letters, score, 0.0), pa.float64()), pa.array(~letters | (margin < unsure), pa.bool_())],
                     names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"],
                 )
+        tidy()
 
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(3) == 1).alias("held_out"), F.col("text").cast("string").alias("text"))
     return one.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
 def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Rows of ``docs`` whose text has a language (not ``und``), all columns as they were."""
+    """Rows of ``docs`` whose text has a language (not ``und``), all columns as they were.
+
+    Null, empty and letterless texts go. Where nothing could be learned (no row with
+    text and lang) the others all stay. Repeated rows, null ids and other columns
+    stay as they are; an empty table gives none.
+    """
     model = model or fit(docs)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -171,8 +178,7 @@ def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 if m.names:
                     _, score, _ = m.predict(features(part))
                     known &= score > 0
-                else:
-                    known[:] = False
                 yield batch.slice(at, len(part)).filter(pa.array(known))
+        tidy()
 
     return docs.mapInArrow(run, docs.schema)

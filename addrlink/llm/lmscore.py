@@ -6,7 +6,8 @@ the driver gets one row a piece. Pass 2 scores every row and also writes, for ea
 run of texts and each hash bucket of words, one compact block of (word hash, text,
 count). Blocks meet by bucket, where word counts of all training rows are summed
 and turned into each text's part of the base score; parts then meet by run. No
-word row of its own is ever shuffled, and no block grows with the corpus.
+word row of its own is ever shuffled; the number of buckets follows the corpus, so
+no block or bucket grows with it.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import pack, unpack
-from .common import materialize, partitions
+from .common import materialize, partitions, tidy
 from .langid import remainder
 from .lattice import vocabulary
 from .tokens import U, Words, mix, slices
 
 RUN_BYTES = 3_000_000
-CACHE_WORDS = 400_000
+BUCKET_BYTES = 32_000_000  # of training texts whose words a bucket holds, on average
+CACHE_WORDS = 200_000
 LONGEST = 2000  # longer words are learned from one by one
 COLUMNS = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -36,15 +38,16 @@ def distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(words.hash, return_index=True, return_inverse=True)
 
 
-def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float]:
-    """Natural-log weights of the pieces and of the end mark, one EM step from the vocabulary's own weights."""
+def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float, float]:
+    """Natural-log weights of the pieces and of the end mark, one EM step from the vocabulary's own weights; bytes learned from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(vocabulary_path)
-        counts, ends = np.zeros(len(voc.pieces)), 0
+        counts, ends, size = np.zeros(len(voc.pieces)), 0, 0
         for batch in batches:
             ends += len(batch)
             for _, part in slices(batch.column(0), RUN_BYTES):
+                size += part.nbytes
                 words = Words(part, lower=True)
                 _, one, where = distinct(words)
                 times = np.bincount(where.reshape(-1), minlength=len(one)).astype(float)
@@ -55,18 +58,21 @@ def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float]:
                     else:
                         voc.expected(chars, voc.first, times[group], counts)
         at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([float(ends), *counts[at].tolist()], pa.float64())], names=["piece", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *at.tolist()], pa.int32()), pa.array([float(ends), float(size), *counts[at].tolist()], pa.float64())], names=["piece", "n"])
+        tidy()
 
     got = rows.where("not held_out").select("text").mapInArrow(run, "piece int, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     voc = vocabulary(vocabulary_path)
-    counts, ends = np.exp(voc.first) * 100.0, 1.0
+    counts, ends, size = np.exp(voc.first) * 100.0, 1.0, 0.0
     for r in got:
-        if r["piece"] < 0:
+        if r["piece"] == -1:
             ends += r["n"]
+        elif r["piece"] == -2:
+            size = r["n"]
         else:
             counts[r["piece"]] += r["n"]
     total = counts.sum() + ends
-    return np.log(counts / total), float(np.log(ends / total))
+    return np.log(counts / total), float(np.log(ends / total)), size
 
 
 def _pack(kind: int, bucket: int, run: int, *arrays: np.ndarray) -> tuple[int, int, int, bytes]:
@@ -94,9 +100,9 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(10) == 0).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    weights, end = learn(rows, vocabulary_path)
+    weights, end, learned = learn(rows, vocabulary_path)
     sent = spark.sparkContext.broadcast(weights)  # one weight a piece of the vocabulary file
-    buckets = partitions(spark)
+    buckets = max(partitions(spark), int(learned // BUCKET_BYTES) + 1)  # a worker holds the words of one bucket
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, logp = vocabulary(vocabulary_path), sent.value
@@ -144,6 +150,8 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                         out.append(_pack(0, b, run, keys[place[cut[b] : cut[b + 1]]], per[cut[b] : cut[b + 1]], doc[e].astype(np.uint16), times[e].astype(np.uint16)))
                 run += 1
                 yield _rows(out)
+        cache.clear()
+        tidy()
 
     blocks = materialize(rows.mapInArrow(read, "kind int, bucket int, run long, raw binary"), "lm-blocks")
 
@@ -181,6 +189,7 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
                     texts, where = np.unique(doc[on], return_inverse=True)
                     yield _rows([_pack(2, b, run, texts, np.bincount(where.reshape(-1), gain[on] * times[on], len(texts)), np.bincount(where.reshape(-1), times[on], len(texts)).astype(np.uint32))])
         yield _rows([(3, -1, seen, b"")])
+        tidy()
 
     parts = materialize(blocks.where("kind = 0").select("bucket", "run", "raw").repartition(buckets, "bucket").mapInArrow(meet, "kind int, bucket int, run long, raw binary"), "lm-parts")
     seen_words = parts.where("kind = 3").agg(F.sum("run")).first()[0] or 0

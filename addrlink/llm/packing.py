@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import encoder
+from .common import tidy
 from .tokens import slices
 
 COLUMNS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -140,6 +141,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, w
                     yield out()
         packer.finish()
         yield out()
+        tidy()
 
     one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return one.mapInArrow(run, COLUMNS + ", ids array<int>" * with_ids)

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import runs
+
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "secret", "account")
 
@@ -28,6 +30,7 @@ KINDS = (*BASE, "url", "secret", "account")
 SCHEMES = ("http://", "https://", "ftp://", "mailto:")
 CUES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "iban", "account", "ssn")
 
+LOWER = {65 + i: 97 + i for i in range(26)}
 DIGITS = frozenset("0123456789")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 LABEL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-")
@@ -58,7 +61,7 @@ def anchors():
     import ahocorasick
 
     out = ahocorasick.Automaton()
-    for word, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in "0123456789"), *((s, "u") for s in SCHEMES), *((s.upper(), "u") for s in SCHEMES), *((v, "c") for c in CUES for v in (c, c.upper(), c.capitalize()))]:
+    for word, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in "0123456789"), *((s, "u") for s in SCHEMES), *((c, "c") for c in CUES)]:
         out.add_word(word, (kind, len(word)))
     out.make_automaton()
     return out
@@ -72,7 +75,8 @@ class Parser:
         found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
         end = dict.fromkeys((*KINDS, "cue"), 0)
         number = address = 0  # ends of the digit chain and of the dotted chain last walked
-        for last, (kind, size) in self.automaton.iter(text):
+        # letters A-Z are anchors in any case; offsets stay, since only they are lowered
+        for last, (kind, size) in self.automaton.iter(text.translate(LOWER)):
             at = last + 1 - size
             if kind == "0":
                 if at >= number:
@@ -182,7 +186,7 @@ def find(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = parser()
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, 1)):
             rows = [parse(t) if t else {k: [] for k in KINDS} for t in batch.column(1).to_pylist()]
             cols = [batch.column(0)]
             cols += [pa.array([len(r[k]) for r in rows], pa.int64()) for k in BASE]
@@ -204,7 +208,7 @@ def mask(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parse = parser()
-        for batch in batches:
+        for batch in (part for whole in batches for part in runs(whole, "text")):
             k = batch.schema.names.index("text")
             before = batch.column(k).to_pylist()
             texts = [masked(t, parse(t)) if t else t for t in before]

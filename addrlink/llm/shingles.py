@@ -108,16 +108,16 @@ def keys(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
 
 
 def vector(tokens: np.ndarray, lv: int, m: int) -> bytes:
-    """The count of each group (16 bits), then 32 bits of the key of its content (0 where it is empty)."""
+    """The count of each group (32 bits), then 32 bits of the key of its content (0 where it is empty)."""
     group, key, count = group_keys(tokens, lv, m)
-    counts, marks = np.zeros(m, np.uint16), np.zeros(m, np.uint32)
-    counts[group] = np.minimum(count, 65_535)
+    counts, marks = np.zeros(m, np.uint32), np.zeros(m, np.uint32)
+    counts[group] = count
     marks[group] = (key >> U(32)).astype(np.uint32) | np.uint32(1)
     return counts.tobytes() + marks.tobytes()
 
 
 def read_vectors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Counts and marks of vectors of one level, a row each."""
-    m = len(raws[0]) // 6
-    both = np.frombuffer(b"".join(raws), np.uint8).reshape(len(raws), 6 * m)
-    return both[:, : 2 * m].copy().view(np.uint16), both[:, 2 * m :].copy().view(np.uint32)
+    both = np.frombuffer(b"".join(raws), np.uint32).reshape(len(raws), -1)
+    m = both.shape[1] // 2
+    return both[:, :m], both[:, m:]
