@@ -87,7 +87,14 @@ def sample(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.orderBy(F.xxhash64(key), key).limit(most)
 
 
-def percentile(values: Column, p: float) -> Column:
-    """The element at floor(n * p) of the sorted values (the last one at most)."""
-    s = F.sort_array(F.collect_list(values))
-    return F.get(s, F.least(F.size(s) - 1, F.floor(F.size(s) * F.lit(p)).cast("int")))
+def percentiles(df: DataFrame, by: list[str], value: str, of: dict[str, float]) -> DataFrame:
+    """(by, a column for each of ``of``): the value at floor(n * p) of a group's sorted values (the last one at most).
+
+    Values are counted first, so a group is never held as a list: its distinct values pass in order once.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*by)
+    upto = F.sum("_n").over(group.orderBy(value))
+    placed = counted.withColumn("_to", upto).withColumn("_all", F.sum("_n").over(group))
+    rank = lambda p: F.least(F.col("_all") - 1, F.floor(F.col("_all") * F.lit(p)))
+    return placed.groupBy(*by).agg(*(F.min(F.when(F.col("_to") > rank(p), F.col(value))).alias(name) for name, p in of.items()))

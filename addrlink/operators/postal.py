@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .inventory import percentile
+from .inventory import percentiles
 
 #: The country's centre and box, and how near the centre counts as a fallback point.
 CENTRE, FALLBACK = (-14.2400732, -53.1805017), 0.001
@@ -64,7 +64,7 @@ def quality(rows: DataFrame, boxes: DataFrame, by: str) -> DataFrame:
     joined = rows.withColumn("place", place).join(boxes.select("ibge", "lat_min", "lat_max", "lng_min", "lng_max"), "ibge", "left")
     within = F.col("lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("lng").between(F.col("lng_min"), F.col("lng_max"))
     per_place = joined.where("place is not null").groupBy(by, "place").agg(F.count("*").alias("n"))
-    shared = per_place.groupBy(by).agg(F.count("*").alias("places"), F.sum((F.col("n") >= 2).cast("long")).alias("shared2"), F.sum((F.col("n") >= 5).cast("long")).alias("shared5"), F.max("n").alias("most"), percentile(F.col("n"), 0.5).alias("p50"), percentile(F.col("n"), 0.9).alias("p90"))
+    shared = per_place.groupBy(by).agg(F.count("*").alias("places"), F.sum((F.col("n") >= 2).cast("long")).alias("shared2"), F.sum((F.col("n") >= 5).cast("long")).alias("shared5"), F.max("n").alias("most")).join(percentiles(per_place, [by], "n", {"p50": 0.5, "p90": 0.9}), by)
     ok = F.col("status") == "ok"
     base = joined.groupBy(by).agg(F.count("*").alias("rows"), F.sum(ok.cast("long")).alias("ok"), F.coalesce(F.sum((ok & within).cast("long")), F.lit(0)).alias("inside"), F.coalesce(F.sum((ok & ~within).cast("long")), F.lit(0)).alias("outside"))
     return base.join(shared, by, "left")

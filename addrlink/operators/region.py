@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
@@ -71,7 +71,9 @@ def state_of_box(lat: Column | str, lng: Column | str, states: tuple[str, ...] =
     """The smallest box that holds the point; '' where none does. Twenty-seven constant boxes need no join."""
     y, x = text._c(lat), text._c(lng)
     order = sorted((s for s in STATE_BOX if not states or s in states), key=lambda s: (STATE_BOX[s][1] - STATE_BOX[s][0]) * (STATE_BOX[s][3] - STATE_BOX[s][2]))
-    return F.coalesce(*(F.when(y.between(STATE_BOX[s][0], STATE_BOX[s][1]) & x.between(STATE_BOX[s][2], STATE_BOX[s][3]), s) for s in order), F.lit(""))
+    boxes = F.array(*(F.struct(*(F.lit(v).alias(k) for k, v in zip(("uf", "y0", "y1", "x0", "x1"), (s, *map(float, STATE_BOX[s])), strict=True))) for s in order))
+    hit = F.filter(boxes, lambda b: y.between(b["y0"], b["y1"]) & x.between(b["x0"], b["x1"]))  # one small expression instead of 27 in the generated code
+    return F.coalesce(F.get(hit, F.lit(0))["uf"], F.lit(""))
 
 
 def edge_table(polygons: DataFrame) -> DataFrame:
@@ -92,6 +94,24 @@ def inside(points: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
     return points.join(got, [*keys, "poly"], "left")
 
 
+def validation(checked: DataFrame, by: str) -> DataFrame:
+    """(by): rows, inside, outside, without a polygon, and outside by distance band, of checked rows (by, inside, band)."""
+    of = lambda c: F.count(F.when(c, 1))
+    bands = (of(F.col("band") == b).alias(b) for b in ("ate_1km", "de_1_a_5km", "de_5_a_25km", "mais_de_25km"))
+    return checked.groupBy(by).agg(F.count("*").alias("n"), of(F.col("inside")).alias("inside"), of(~F.col("inside")).alias("outside"), of(F.col("inside").isNull()).alias("unknown"), *bands)
+
+
+def worst(checked: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows furthest outside their polygon; ties by ord."""
+    return checked.where(~F.col("inside")).orderBy(F.desc("border_km"), "ord").limit(n)
+
+
+def examples(rows: DataFrame, by: str, n: int) -> DataFrame:
+    """The first ``n`` rows (by ord) of each value of ``by``; each task keeps at most n of a value before they meet."""
+    nth = F.row_number().over(Window.partitionBy(by).orderBy("ord"))
+    return rows.where(F.col(by).isNotNull()).withColumn("_nth", nth).where(F.col("_nth") <= n).drop("_nth")
+
+
 def grid(edges: DataFrame, size: float = 0.25) -> DataFrame:
     """(poly, ci, cj, whole): cells of each polygon's box that it covers wholly, or may cover in part.
 

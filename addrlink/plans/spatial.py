@@ -177,6 +177,32 @@ g AS (SELECT ord, sum(CASE WHEN crossed THEN 1 ELSE 0 END) % 2 = 1 OR min(sqrt(p
 SELECT p.ord, inside, round(km, 9) AS border_km, CASE WHEN inside THEN NULL WHEN km < 1 THEN 'ate_1km' WHEN km < 5 THEN 'de_1_a_5km' WHEN km <= 25 THEN 'de_5_a_25km' WHEN km > 25 THEN 'mais_de_25km' END AS band FROM p LEFT JOIN g USING (ord)"""
 
 
+def _checked(spark, sf_dir):
+    return polygon_check(spark, sf_dir).withColumn("poly", F.col("ord") % 25)
+
+
+def polygon_validation(spark, sf_dir):
+    """How many features of each nation lie inside their polygon, outside by distance band, or have none."""
+    return region.validation(_checked(spark, sf_dir), "poly")
+
+
+POLYGON_VALIDATION = f"""SELECT ord % 25 AS poly, count(*) AS n, count(*) FILTER (inside) AS inside, count(*) FILTER (NOT inside) AS outside, count(*) FILTER (inside IS NULL) AS unknown,
+  count(*) FILTER (band = 'ate_1km') AS ate_1km, count(*) FILTER (band = 'de_1_a_5km') AS de_1_a_5km, count(*) FILTER (band = 'de_5_a_25km') AS de_5_a_25km, count(*) FILTER (band = 'mais_de_25km') AS mais_de_25km
+FROM ({POLYGON_CHECK}) c GROUP BY 1"""
+
+
+def polygon_worst(spark, sf_dir):
+    """The fifteen features furthest outside, and three examples of each band."""
+    got = _checked(spark, sf_dir)
+    worst = region.worst(got, 15).select("ord", "border_km", F.lit("worst").alias("why"))
+    return worst.unionByName(region.examples(got, "band", 3).select("ord", "border_km", F.col("band").alias("why")))
+
+
+POLYGON_WORST = f"""WITH c AS ({POLYGON_CHECK}), w AS (SELECT ord, border_km FROM c WHERE NOT inside ORDER BY border_km DESC, ord LIMIT 15)
+SELECT ord, border_km, 'worst' AS why FROM w UNION ALL
+SELECT ord, border_km, band AS why FROM (SELECT *, row_number() OVER (PARTITION BY band ORDER BY ord) AS nth FROM c WHERE band IS NOT NULL) e WHERE nth <= 3"""
+
+
 def polygon_lookup(spark, sf_dir):
     """The first nation square that holds each feature, through the cell grid."""
     n = spark.read.parquet(f"{sf_dir}/nation.parquet")
@@ -279,7 +305,8 @@ def signal_hints(spark, sf_dir):
     return inventory.hints(inventory.signals(_elements(spark, sf_dir)))
 
 
-SIGNAL_HINTS = "SELECT true AS has_point_geometry, true AS has_address_tags, true AS has_place_tags, true AS has_named_features, true AS has_road_network, true AS likely_has_geocode_material"
+SIGNAL_HINTS = f"""SELECT node_with_lat_lon > 0 AS has_point_geometry, addr_any > 0 AS has_address_tags, place > 0 AS has_place_tags, name + name_localized > 0 AS has_named_features, highway + way > 0 AS has_road_network,
+  node_with_lat_lon > 0 AND addr_any + place + name + name_localized > 0 AS likely_has_geocode_material FROM ({GEOCODE_SIGNALS}) s"""
 
 
 def tag_keys(spark, sf_dir):
@@ -328,7 +355,7 @@ SELECT user_id, count(*) AS n, min(t) AS first, max(t) AS last FROM s GROUP BY u
 def floor_percentiles(spark, sf_dir):
     """Elements at floor(n * p) of each nation's balances."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return c.groupBy(F.col("c_nationkey").alias("nation")).agg(*(inventory.percentile(F.col("c_acctbal"), p).alias(f"p{int(p * 100)}") for p in (0.5, 0.75, 0.9)))
+    return inventory.percentiles(c.withColumnRenamed("c_nationkey", "nation"), ["nation"], "c_acctbal", {"p50": 0.5, "p75": 0.75, "p90": 0.9})
 
 
 FLOOR_PERCENTILES = "WITH s AS (SELECT c_nationkey AS nation, list_sort(list(c_acctbal)) AS v FROM customer GROUP BY 1) SELECT nation, v[least(len(v) - 1, CAST(floor(len(v) * 0.5::DOUBLE) AS BIGINT)) + 1] AS p50, v[least(len(v) - 1, CAST(floor(len(v) * 0.75::DOUBLE) AS BIGINT)) + 1] AS p75, v[least(len(v) - 1, CAST(floor(len(v) * 0.9::DOUBLE) AS BIGINT)) + 1] AS p90 FROM s"
@@ -461,6 +488,6 @@ def path_inventory(spark, sf_dir):
 
 PATH_INVENTORY = "SELECT '/' || event_type AS path, CAST(user_id % 20 AS VARCHAR) AS k, count(*) AS n, min(event_id) AS first, arg_min(value, event_id) AS first_value, CASE WHEN count(*) > 1 THEN max(event_id) END AS last, CASE WHEN count(*) > 1 THEN arg_max(value, event_id) END AS last_value FROM events GROUP BY ALL"
 
-_NAMES = "link_exact_round1 link_full link_owners name_clusters footprints locality_centres way_geometry polygon_check polygon_lookup state_resolution way_crossings way_touches street_edges dense_points geocode_signals signal_hints tag_keys coordinate_layout coordinate_sequence event_sessions floor_percentiles cache_last cache_import cache_upsert municipal_boxes postal_quality sample_quota nearest_parts address_points relabelled stable_sample path_inventory".split()
+_NAMES = "link_exact_round1 link_full link_owners name_clusters footprints locality_centres way_geometry polygon_check polygon_validation polygon_worst polygon_lookup state_resolution way_crossings way_touches street_edges dense_points geocode_signals signal_hints tag_keys coordinate_layout coordinate_sequence event_sessions floor_percentiles cache_last cache_import cache_upsert municipal_boxes postal_quality sample_quota nearest_parts address_points relabelled stable_sample path_inventory".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 SQL = {n: globals()[n.upper()] for n in _NAMES if n.upper() in globals()} | {"link_exact_round1": LINK_ROUND1}

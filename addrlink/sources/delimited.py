@@ -35,6 +35,13 @@ def exists(folder: str, key: str) -> bool:
     return bool(resolve_paths(folder, key))
 
 
+UNIT = 1 << 16  # bytes; Spark's splits are longer, and 2**30 units (64 TiB in all files) fit an ordinal
+
+
+def _plain(path: str) -> str:
+    return os.path.abspath(path.removeprefix("file://"))
+
+
 def read(spark: SparkSession, paths: list[str], schema: StructType, encoding: str = "UTF-8") -> DataFrame:
     """Rows with ``ord``, which follows file order and line order; short rows are padded with nulls, nulls are ''.
 
@@ -44,12 +51,14 @@ def read(spark: SparkSession, paths: list[str], schema: StructType, encoding: st
     if not paths:
         return spark.createDataFrame([], schema).withColumn("ord", F.lit(0).cast("long"))
     raw = spark.read.csv(paths, sep="@", quote="", encoding=encoding, schema=schema, mode="PERMISSIVE", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    place = F.create_map(*(x for n, p in enumerate(paths) for x in (F.lit(os.path.basename(p)), F.lit(n))))
-    keyed = raw.select("*", F.col("_metadata.file_name").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
-    number = F.coalesce(F.element_at(place, F.col("_f")), F.lit(0)).cast("long")
+    # units before each file: split starts lie further apart than one, so a split's place is its file's plus its own
+    units = [os.path.getsize(p) // UNIT + 1 for p in paths]
+    place = F.create_map(*(x for n, p in enumerate(paths) for x in (F.lit(_plain(p)), F.lit(sum(units[:n])))))
+    keyed = raw.select("*", F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_m"))
+    number = F.element_at(place, F.regexp_replace("_f", "^file:/*", "/")).cast("long")
     # file, then split, then row: a running number within each split is enough to order rows
     within = F.col("_m").bitwiseAND((1 << 33) - 1)
-    out = keyed.withColumn("ord", F.shiftleft(number, 53) + F.shiftleft(F.least(F.floor(F.col("_b") / (1 << 16)), F.lit((1 << 20) - 1)), 33) + within)
+    out = keyed.withColumn("ord", F.shiftleft(number + F.floor(F.col("_b") / UNIT), 33) + within)
     return out.select(*(F.coalesce(F.col(f.name), F.lit("")).alias(f.name) for f in schema), "ord")
 
 

@@ -92,3 +92,25 @@ def test_options():
         params.parse_bbox("1,2,3")
     assert params.parse_datasets("geom").datasets == ("logradouro",) and params.parse_datasets("bairro,geom").way_geom
     assert region.states_of("centro-oeste") == ("DF", "GO", "MT", "MS") and region.states_of("sp+sul") == ("SP", "PR", "RS", "SC")
+
+
+def test_percentiles_and_validation(spark):
+    from addrlink.operators import inventory
+
+    rows = [("a", float(v % 7)) for v in range(40)] + [("b", 1.0), ("c", None)]
+    got = {r.k: (r.p0, r.p50, r.p100) for r in inventory.percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", {"p0": 0.0, "p50": 0.5, "p100": 1.0}).collect()}
+    ordered = sorted(v for k, v in rows if k == "a")
+    assert got == {"a": (ordered[0], ordered[20], ordered[39]), "b": (1.0, 1.0, 1.0)}
+    checked = spark.createDataFrame([(1, "x", True, 0.0, None), (2, "x", False, 30.0, "mais_de_25km"), (3, "x", None, None, None), (4, "y", False, 0.5, "ate_1km"), (5, "y", False, 30.0, "mais_de_25km")], "ord long, poly string, inside boolean, border_km double, band string")
+    got = {r.poly: tuple(r)[1:] for r in region.validation(checked, "poly").collect()}
+    assert got == {"x": (3, 1, 1, 1, 0, 0, 0, 1), "y": (2, 0, 2, 0, 1, 0, 0, 1)}
+    assert [r.ord for r in region.worst(checked, 2).collect()] == [2, 5]
+    assert sorted(r.ord for r in region.examples(checked, "band", 1).collect()) == [2, 4]
+
+
+def test_smallest_box_wins(spark):
+    df = spark.createDataFrame([(-23.5, -46.6), (-15.8, -47.9), (0.0, 0.0), (None, None)], "lat double, lng double")
+    boxes = {s: b for s, b in region.STATE_BOX.items()}
+    held = lambda y, x: min((s for s, b in boxes.items() if y is not None and b[0] <= y <= b[1] and b[2] <= x <= b[3]), key=lambda s: (boxes[s][1] - boxes[s][0]) * (boxes[s][3] - boxes[s][2]), default="")
+    for r in df.select("lat", "lng", region.state_of_box("lat", "lng").alias("uf")).collect():
+        assert r.uf == held(r.lat, r.lng)

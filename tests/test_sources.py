@@ -122,3 +122,19 @@ def test_session_stream(spark, tmp_path):
     q = scans.session_counts(stream, "ts", ["k"]).writeStream.format("memory").queryName("closed").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination()
     assert sorted(r.n for r in spark.table("closed").collect()) in ([1, 2], [1, 1, 2])
+
+
+def test_ordinals_follow_many_files_of_one_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from addrlink.sources import delimited
+
+    paths = []
+    for n in range(5):
+        folder = tmp_path / f"part {n}"
+        folder.mkdir()
+        (folder / "000001.txt").write_text("".join(f"{n}@{i}\n" for i in range(40)))
+        paths.append(str(folder / "000001.txt"))
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    rows = sorted((r.ord, int(r.a), int(r.b)) for r in delimited.read(spark, paths, schema).collect())
+    assert [x[1:] for x in rows] == [(n, i) for n in range(5) for i in range(40)] and len({x[0] for x in rows}) == 200
