@@ -185,3 +185,48 @@ def test_codewords_are_apart():
     for n in (2, 3, 4, 7, 12, 40):
         code = langid.codewords(n)
         assert all((code[i] != code[j]).any() for i in range(n) for j in range(i))
+
+
+def test_decoding_by_brute_force():
+    """The nearest codeword by weighted loss, bit by bit, for each text."""
+    import math
+
+    import numpy as np
+    import pyarrow as pa
+
+    from addrlink.llm.tokens import slices
+
+    rng = random.Random(2)
+    parts = {"en": ["the", "ing", "and"], "fr": ["eau", "oi", "les"], "de": ["sch", "ung", "ei"], "es": ["cion", "los", "que"]}
+    made = [(k, " ".join("".join(rng.choice(v) for _ in range(3)) for _ in range(12))) for k, v in parts.items() for _ in range(25)]
+    names = sorted(parts)
+    ((_, part),) = slices(pa.array([t for _, t in made]))
+    x = langid.features(part)
+    model = langid.Model(names, x, np.array([names.index(k) for k, _ in made]))
+    got, score, margin = model.predict(x)
+    for i in range(len(made)):
+        bits = [sum(float(a) * float(w) for a, w in zip([*x[i], 0.3], model.w[:, b], strict=True) if a) for b in range(model.code.shape[1])] if i % 10 == 0 else (np.r_[x[i], 0.3] @ model.w).tolist()
+        loss = [sum(float(model.weight[k, b]) * math.log1p(math.exp(-model.code[k, b] * v)) for b, v in enumerate(bits)) for k in range(len(names))]
+        order = sorted(range(len(names)), key=loss.__getitem__)
+        assert names[got[i]] == made[i][0] and got[i] == order[0]
+        assert abs(margin[i] - (loss[order[1]] - loss[order[0]])) < 1e-4
+        assert abs(score[i] - 1 / sum(math.exp(-len(bits) * (v - loss[order[0]])) for v in loss)) < 1e-3
+
+
+def test_cues_in_any_case():
+    found = pii.parser()("Api_Key: abcDEF1234567890XYZ and API_KEY=abcDEF1234567890XYZ, HtTp://x.example/é İ")
+    assert len(found["secret"]) == 2 and len(found["url"]) == 1
+
+
+def test_words_that_polynomials_confuse():
+    import numpy as np
+    import pyarrow as pa
+
+    from addrlink.llm.tokens import Words, slices
+
+    a, b = "a", "b"
+    for _ in range(12):
+        a, b = a + b, b + a
+    ((_, part),) = slices(pa.array([f"{a} {b}"]))
+    words = Words(part)
+    assert len(np.unique(words.hash)) == 2 and len(np.unique(words.second())) == 2
