@@ -38,8 +38,13 @@ def distinct(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.unique(words.hash, return_index=True, return_inverse=True)
 
 
-def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float, float]:
-    """Natural-log weights of the pieces and of the end mark, one EM step from the vocabulary's own weights; bytes learned from."""
+def learn(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float]:
+    """Natural-log weights of the pieces and of the end mark, one EM step from the vocabulary's own weights."""
+    return _learned(rows, vocabulary_path)[:2]
+
+
+def _learned(rows: DataFrame, vocabulary_path: str) -> tuple[np.ndarray, float, float]:
+    """What ``learn`` gives, and the bytes learned from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc = vocabulary(vocabulary_path)
@@ -100,7 +105,7 @@ def score(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (remainder(10) == 0).alias("held_out"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    weights, end, learned = learn(rows, vocabulary_path)
+    weights, end, learned = _learned(rows, vocabulary_path)
     sent = spark.sparkContext.broadcast(weights)  # one weight a piece of the vocabulary file
     buckets = max(partitions(spark), int(learned // BUCKET_BYTES) + 1)  # a worker holds the words of one bucket
 
