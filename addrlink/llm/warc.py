@@ -108,7 +108,8 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     # archives are runs of ids of equal width, so that they depend on the rows alone; sampled borders differ from run to run
     count = shards or 4 * partitions(spark)
     low, high = rows.agg(F.min("id"), F.max("id")).first()
-    place = F.floor((F.col("id") - F.lit(low or 0)).cast("double") * count / float((high or 0) - (low or 0) + 1)).cast("int")
+    # in doubles, which no ids overflow; order is kept, so an archive is still one run of ids
+    place = F.floor((F.col("id").cast("double") - F.lit(float(low or 0))) * count / (float(high or 0) - float(low or 0) + 1.0)).cast("int")
     dealt = both.withColumn("shard", F.coalesce(F.least(place, F.lit(count - 1)), F.lit(0)))
     sorted_rows = dealt.repartitionByRange(shards or partitions(spark), "shard").sortWithinPartitions("shard", "id", F.col("digest").isNull(), "digest", "url", F.col("payload"))
 

@@ -152,3 +152,12 @@ def test_long_words_give_expected_counts(spark, monkeypatch):
     weights, end = lmscore.learn(df, VOCABULARY)
     counts = np.exp(voc.first) * 100 + all_at_once
     assert np.exp(weights) * (counts.sum() + 3) == pytest.approx(counts, rel=1e-9)
+
+
+def test_ids_far_apart(spark, tmp_path):
+    ids = [-(2**63), -(2**62), -1, 0, 5, 2**62, 2**63 - 1]
+    df = spark.createDataFrame([(i, "u", f"<p>{n % 3}</p>") for n, i in enumerate(ids)], "page_id long, url string, html string")
+    warc.write(df, str(tmp_path / "far"))
+    got = {r.page_id: r.refers_to for r in warc.read(spark, str(tmp_path / "far")).collect()}
+    top = {n % 3: i for n, i in enumerate(ids)}
+    assert got == {i: None if top[n % 3] == i else top[n % 3] for n, i in enumerate(ids)}
