@@ -33,19 +33,19 @@ def _label(cells: pd.DataFrame) -> pd.DataFrame:
     return cells.assign(comp_i=[t[0] for t in top], comp_j=[t[1] for t in top])
 
 
-def components(feats: DataFrame, size: float, name: str = "name_norm") -> DataFrame:
+def components(feats: DataFrame, size: float, by: tuple[str, ...] = ("name_norm",)) -> DataFrame:
     """``feats`` with comp_i, comp_j: the least cell of the feature's component among equal names.
 
     Only distinct cells of names with several cells go to Python; a name's cells are
     few next to its features. The rest never leaves the JVM.
     """
     celled = feats.withColumn("ci", geo.cell("lat", size)).withColumn("cj", geo.cell("lng", size))
-    cells = celled.select(name, "ci", "cj").distinct()
-    names = cells.groupBy(name).agg(F.count("*").alias("cells"))
-    many = cells.join(names.where("cells > 1").select(name), name)
+    cells = celled.select(*by, "ci", "cj").distinct()
+    names = cells.groupBy(*by).agg(F.count("*").alias("cells"))
+    many = cells.join(names.where("cells > 1").select(*by), [*by])
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema) + ", comp_i bigint, comp_j bigint"
-    labelled = many.groupBy(name).applyInPandas(_label, schema)
-    return celled.join(labelled, [name, "ci", "cj"], "left").withColumn("comp_i", F.coalesce("comp_i", "ci")).withColumn("comp_j", F.coalesce("comp_j", "cj")).drop("ci", "cj")
+    labelled = many.groupBy(*by).applyInPandas(_label, schema)
+    return celled.join(labelled, [*by, "ci", "cj"], "left").withColumn("comp_i", F.coalesce("comp_i", "ci")).withColumn("comp_j", F.coalesce("comp_j", "cj")).drop("ci", "cj")
 
 
 def summarise(feats: DataFrame, keys: list[str]) -> DataFrame:

@@ -6,7 +6,9 @@ the last recovery depend on row order, and they are folds over what is left by
 then, grouped by neighbourhood and by candidate.
 
 Inputs (see ``schemas``): register rows with a stable ordinal ``ord``, features
-with ``ord``, localities and neighbourhoods.
+with ``ord``, localities and neighbourhoods. Where features have ``uf``, a row
+meets features of its own state only: ``scope`` is part of every name key, so a
+name that the whole country uses is split by state before any join.
 """
 
 from __future__ import annotations
@@ -41,60 +43,73 @@ def load_features(streets: DataFrame) -> DataFrame:
     return out.withColumn("n", F.coalesce(F.nullif(F.col("way_node_count").cast("int"), F.lit(0)), F.lit(1)))
 
 
+def scoped(df: DataFrame, by_state: bool) -> DataFrame:
+    """``df`` with ``scope``: its state, or nothing where states are not told apart."""
+    return df.withColumn("scope", F.coalesce("uf", F.lit("")) if by_state else F.lit(""))
+
+
+def usable(features: DataFrame) -> DataFrame:
+    """Features with a place and a name; rows of the text table are typed first."""
+    if "way_node_count" in features.columns:
+        return load_features(features)
+    return features.where("lat is not null and lng is not null and coalesce(name_norm, '') != ''")
+
+
 def add_address_points(features: DataFrame, points: DataFrame) -> DataFrame:
-    """Address points, first one a street name, where no feature has that name."""
-    w = Window.partitionBy("street_norm").orderBy("ord")
+    """Address points, first one a street name (of a state, where both tables have ``uf``), where no feature has that name."""
+    by = ["uf"] if "uf" in features.columns and "uf" in points.columns else []
+    w = Window.partitionBy(*by, "street_norm").orderBy("ord")
     named = points.where("coalesce(street_norm, '') != '' and lat is not null and lng is not null")
-    lone = named.join(features.select(F.col("name_norm").alias("street_norm")).distinct(), "street_norm", "left_anti")
+    lone = named.join(features.select(*by, F.col("name_norm").alias("street_norm")).distinct(), [*by, "street_norm"], "left_anti")
     first = lone.withColumn("nth", F.row_number().over(w)).where("nth = 1")
     cols = {c: F.lit(None).cast(t) for c, t in features.dtypes}
     place = {"lat": "lat", "lng": "lng", "lat_min": "lat", "lat_max": "lat", "lng_min": "lng", "lng_max": "lng"}
-    cols |= {c: F.col(v) for c, v in place.items()} | {"name_norm": F.col("street_norm"), "kind": F.lit("addr"), "n": F.lit(1), "osm_id": F.lit(""), "ord": F.col("ord") + (1 << 40)}
+    cols |= {c: F.col(c) for c in by} | {c: F.col(v) for c, v in place.items()} | {"name_norm": F.col("street_norm"), "kind": F.lit("addr"), "n": F.lit(1), "osm_id": F.lit(""), "ord": F.col("ord") + (1 << 40)}
     return features.unionByName(first.select(*(cols[c].cast(t).alias(c) for c, t in features.dtypes)))
 
 
 def key_table(clusters: DataFrame, features: DataFrame) -> DataFrame:
-    """(family, key, cid, has_via): every way in which a cluster's name can be asked for."""
+    """(scope, family, key, cid, has_via): every way in which a cluster's name can be asked for."""
     core = text.core_name("name_norm")
     bare = text.strip_titles(core)
     derived = [("core", core), ("sound", text.phonetic_key(core)), ("bare", bare), ("bare_sound", text.phonetic_key(bare)), ("mid", text.strip_mid_link(bare))]
-    own = clusters.select("cid", "has_via", F.explode(F.array(F.struct(F.lit("name").alias("family"), F.col("name_norm").alias("key")), *(F.struct(F.lit(f).alias("family"), k.alias("key")) for f, k in derived))).alias("x"))
-    alt = features.select("name_norm", F.explode(F.split(F.coalesce("name_alt_norm", F.lit("")), ";")).alias("key")).where("key != ''").distinct()
-    by_alt = alt.join(clusters.select("name_norm", "cid", "has_via"), "name_norm").select(F.lit("alt").alias("family"), "key", "cid", "has_via")
-    return own.select("x.family", "x.key", "cid", "has_via").where("key != ''").unionByName(by_alt).distinct()
+    own = clusters.select("scope", "cid", "has_via", F.explode(F.array(F.struct(F.lit("name").alias("family"), F.col("name_norm").alias("key")), *(F.struct(F.lit(f).alias("family"), k.alias("key")) for f, k in derived))).alias("x"))
+    alt = features.select("scope", "name_norm", F.explode(F.split(F.coalesce("name_alt_norm", F.lit("")), ";")).alias("key")).where("key != ''").distinct()
+    by_alt = alt.join(clusters.select("scope", "name_norm", "cid", "has_via"), ["scope", "name_norm"]).select("scope", F.lit("alt").alias("family"), "key", "cid", "has_via")
+    return own.select("scope", "x.family", "x.key", "cid", "has_via").where("key != ''").unionByName(by_alt).distinct()
 
 
 def probes(rows: DataFrame) -> DataFrame:
-    """(ord, rank, family, key) that a register row asks, in the order of the cascade."""
+    """(ord, scope, rank, family, key) that a register row asks, in the order of the cascade."""
     core = text.core_name("full_name")
     bare = text.strip_titles(core)
     asked: list[tuple[str, Column]] = [("name", F.col("full_name")), ("name", F.col("bare_name")), ("alt", F.col("full_name")), ("alt", F.col("bare_name")), ("core", core), ("sound", text.phonetic_key(core)), ("bare", bare), ("bare_sound", text.phonetic_key(bare)), ("mid", text.strip_mid_link(bare))]
     one = F.array(*(F.struct(F.lit(n).alias("rank"), F.lit(f).alias("family"), k.alias("key")) for n, (f, k) in enumerate(asked, 1)))
-    return rows.select("ord", "is_area", F.explode(one).alias("x")).select("ord", "is_area", "x.*").where("key != ''")
+    return rows.select("ord", "scope", "is_area", F.explode(one).alias("x")).select("ord", "scope", "is_area", "x.*").where("key != ''")
 
 
 def candidates(rows: DataFrame, keys: DataFrame, fuzzy: bool = True) -> DataFrame:
     """(ord, rank, cid): the clusters of the first tier that has any, after the area guard."""
     fits = F.col("is_area") | F.col("has_via")
-    hits = probes(rows).join(keys, ["family", "key"]).where(fits).select("ord", "rank", "cid").distinct()
+    hits = probes(rows).join(keys, ["scope", "family", "key"]).where(fits).select("ord", "rank", "cid").distinct()
     first = hits.groupBy("ord").agg(F.min("rank").alias("rank"))
     found = hits.join(first, ["ord", "rank"])
     if not fuzzy:
         return found
-    left = rows.join(first.select("ord"), "ord", "left_anti").select("ord", "is_area", text.mid_bare("full_name").alias("mid")).where(F.length("mid") >= 10)
+    left = rows.join(first.select("ord"), "ord", "left_anti").select("ord", "scope", "is_area", text.mid_bare("full_name").alias("mid")).where(F.length("mid") >= 10)
     mids = keys.where("family = 'mid'").where(F.length("key") >= 4)
     a = left.withColumn("cut", F.explode(text.deletes1("mid")))
-    b = mids.select("key").distinct().withColumn("cut", F.explode(text.deletes1("key")))
-    near = a.join(b, "cut").where(F.levenshtein("mid", "key", 1) == 1).select("ord", "is_area", "key").distinct()
-    more = near.join(mids, "key").where(fits).select("ord", F.lit(10).alias("rank"), "cid").distinct()
+    b = mids.select("scope", "key").distinct().withColumn("cut", F.explode(text.deletes1("key")))
+    near = a.join(b, ["scope", "cut"]).where(F.levenshtein("mid", "key", 1) == 1).select("ord", "scope", "is_area", "key").distinct()
+    more = near.join(mids, ["scope", "key"]).where(fits).select("ord", F.lit(10).alias("rank"), "cid").distinct()
     return found.unionByName(more)
 
 
 def anchor_points(rows: DataFrame, clusters: DataFrame, members: DataFrame) -> DataFrame:
     """Points (loc_nu, lat, lng, ord) of names that one locality and one cluster have."""
-    lone = rows.groupBy(F.col("full_name").alias("name_norm")).agg(F.count_distinct("loc_nu").alias("locs"), F.first("loc_nu").alias("loc_nu"), F.min("ord").alias("name_ord")).where("locs = 1")
-    single = clusters.groupBy("name_norm").agg(F.count("*").alias("n"), F.first("cid").alias("cid")).where("n = 1")
-    return lone.join(single, "name_norm").join(members.select("cid", "lat", "lng", F.col("ord").alias("feat_ord")), "cid").select("loc_nu", "lat", "lng", (F.col("name_ord") * (1 << 32) + F.col("feat_ord")).alias("ord"))
+    lone = rows.groupBy("scope", F.col("full_name").alias("name_norm")).agg(F.count_distinct("loc_nu").alias("locs"), F.first("loc_nu").alias("loc_nu"), F.min("ord").alias("name_ord")).where("locs = 1")
+    single = clusters.groupBy("scope", "name_norm").agg(F.count("*").alias("n"), F.first("cid").alias("cid")).where("n = 1")
+    return lone.join(single, ["scope", "name_norm"]).join(members.select("cid", "lat", "lng", F.col("ord").alias("feat_ord")), "cid").select("loc_nu", "lat", "lng", (F.col("name_ord") * (1 << 32) + F.col("feat_ord")).alias("ord"))
 
 
 def centres(points: DataFrame) -> DataFrame:
@@ -284,7 +299,7 @@ def recover_after_conflict(state: DataFrame, rows: DataFrame, cand: DataFrame, c
     """
     near = near_neighbours(state, rows, cand, clusters, "conflito_municipio", p)
     taken = state.where("status = 'ok'").groupBy("cid").agg(F.min_by("loc_nu", "ord").alias("owner"))
-    named = near.join(taken, "cid", "left").join(clusters.select("cid", "name_norm"), "cid").withColumn("family", text.mid_bare("name_norm"))
+    named = near.join(taken, "cid", "left").join(clusters.select("cid", "scope", "name_norm"), "cid").withColumn("family", F.concat_ws("|", "scope", text.mid_bare("name_norm")))
     group = named.groupBy("ord").agg(F.min("family").alias("group"))
     got = named.join(group, "ord").select("group", "ord", "loc_nu", "cid", "owner", "n_cand").groupBy("group").applyInPandas(_last, "ord long, e_cid string, e_n long")
     return _recovered(state, got, "pos_conflito", neighbour=True)
@@ -302,9 +317,10 @@ class Linked:
 
 def prepared(features: DataFrame, p: LinkParams) -> tuple[DataFrame, DataFrame]:
     """(clusters with cid and ord, features with cid)."""
-    placed = components(features, p.cluster_cell)
-    members = placed.withColumn("cid", F.concat_ws("|", "name_norm", "comp_i", "comp_j"))
-    rows = summarise(members, ["cid", "name_norm"])
+    features = features if "scope" in features.columns else scoped(features, False)
+    placed = components(features, p.cluster_cell, ("scope", "name_norm"))
+    members = placed.withColumn("cid", F.concat_ws("|", F.nullif(F.col("scope"), F.lit("")), "name_norm", "comp_i", "comp_j"))
+    rows = summarise(members, ["cid", "scope", "name_norm"])
     return rows.join(members.groupBy("cid").agg(F.min("ord").alias("ord")), "cid"), members
 
 
@@ -313,9 +329,11 @@ def link(register: DataFrame, features: DataFrame, localities: DataFrame, p: Lin
 
     Tables that several phases read are checkpointed, so that no phase is planned or run twice. ``families`` restricts the cascade to some key
     families; with ``rounds`` 1 the phases after the first round are left out.
+    Features without a place or name take no part; rows of a state without any feature are ``sem_extract``.
     """
     p = p or LinkParams()
-    rows = cut(register_keys(register))
+    by_state = "uf" in features.columns and "uf" in register.columns
+    rows, features = cut(scoped(register_keys(register), by_state)), scoped(usable(features), by_state)
     clusters, members = (cut(x) for x in prepared(features, p))
     keys = key_table(clusters, features)
     keys = keys.where(F.col("family").isin(list(families))) if families else keys
@@ -341,9 +359,11 @@ def link(register: DataFrame, features: DataFrame, localities: DataFrame, p: Lin
                 state = cut(recover_after_conflict(state, rows, cand, clusters, p))
     if "phase" not in state.columns:
         state = state.withColumn("phase", F.lit(""))
-    named = rows.select("ord", F.col("loc_nu").alias("r_loc")).join(state, "ord", "left")
+    held = members.select("scope").distinct().withColumn("held", F.lit(True))  # at most one row a state
+    named = rows.select("ord", "scope", F.col("loc_nu").alias("r_loc")).join(state, "ord", "left").join(held, "scope", "left").drop("scope")
     none = F.col("status").isNull()
-    out = named.withColumn("status", F.when(none, "sem_nome_osm").otherwise(F.col("status"))).withColumn("loc_nu", F.col("r_loc")).drop("r_loc").fillna("", ["motive", "phase"]).fillna(0, ["n_candidates", "rank"])
+    missing = F.when(F.col("held"), "sem_nome_osm").otherwise("sem_extract")
+    out = named.withColumn("status", F.when(none, missing).otherwise(F.col("status"))).drop("held").withColumn("loc_nu", F.col("r_loc")).drop("r_loc").fillna("", ["motive", "phase"]).fillna(0, ["n_candidates", "rank"])
     labelled = out.join(rows.select("ord", "is_area"), "ord").join(clusters.select("cid", "kinds", "has_via"), "cid", "left")
     tier = F.element_at(F.array(*(F.lit(r) for r in [*RULES, "vizinho_cep5"])), F.col("rank") + 1)
     area = (tier == "exato") & F.col("is_area") & ~F.col("has_via")

@@ -54,3 +54,58 @@ def test_fuzzy_off(world):
     reg, feats, loc, _ = world
     got = {r.ord: r.status for r in link.link(reg.where("ord in (100, 101, 503)"), feats, loc, LinkParams(fuzzy=False), rounds=1).state.collect()}
     assert got[503] == "sem_nome_osm" and got[100] == "ok"
+
+
+def scenario(spark, features, rows, p=None, **more):
+    """(ord -> emitted row, ord -> state) of rows (ord, loc, bai, name, cep)."""
+    reg = spark.createDataFrame([(i, str(i), "ZZ", loc, bai, "", name, "", cep, "Rua", "S", "") for i, loc, bai, name, cep in rows], REGISTER)
+    loc = spark.createDataFrame([("1", "Um", "", "3550308"), ("3", "Tres", "", "3548708")], "loc_nu string, name string, sub string, ibge string")
+    bai = spark.createDataFrame([("10", "Centro"), ("13", "Leste")], "bai_nu string, name string")
+    got = link.link(reg, spark.createDataFrame(features, FEATURE), loc, p, **more)
+    return {r.ord: r for r in link.emit(reg, got, loc, bai).collect()}, {r.ord: r for r in got.state.collect()}
+
+
+def test_envelope_and_exclusion(spark):
+    north, south = (A[0] + 0.04, A[1]), (A[0] - 0.04, A[1])
+    f = [feature(1, "rua polo norte", north), feature(2, "rua polo sul", south), feature(3, "rua no buraco", A), feature(4, "rua no buraco", FAR, n=40), feature(5, "rua fronteira", south, (0.005, 0)), feature(6, "rua ancora c", south, (0.003, 0))]
+    rows = [(200, "1", "10", "Polo Norte", "20000001"), (201, "1", "10", "Polo Sul", "20000002"), (202, "1", "10", "No Buraco", "20000003"), (203, "1", "10", "Fronteira", "20000004"), (204, "1", "10", "Fronteira", "20000005"), (205, "3", "13", "Fronteira", "20000006"), (206, "3", "13", "Ancora C", "20000007")]
+    out, state = scenario(spark, f, rows)
+    assert out[202].status == "ok" and state[202].phase == "envelope" and float(out[202].lat) == pytest.approx(A[0])
+    assert out[203].status == out[204].status == "ok"
+    assert (out[205].status, out[205].lat, state[205].motive) == ("ambiguo", "", "conflito_municipio")
+
+
+def test_neighbours_of_a_postal_prefix(spark):
+    at = [("ancora um", (0, 0), "44444001"), ("ancora dois", (-0.0003, 0), "44444002"), ("vizinha um", (-0.0005, 0.0002), "44444100"), ("vizinha dois", (-0.0007, -0.0002), "44444110"), ("vizinha tres", (-0.0004, 0.0001), "44444120"), ("alvo cep", (-0.014, 0), "44444999")]
+    f = [feature(n, f"rua {name}", A, off) for n, (name, off, _) in enumerate(at, 1)] + [feature(9, "rua alvo cep", FAR, n=40)]
+    rows = [(300 + n, "1", "10", name.title(), cep) for n, (name, _, cep) in enumerate(at)]
+    out, state = scenario(spark, f, rows, LinkParams(dilate=0, envelope=False, neighbour_km=2.0, neighbour_min=3))
+    assert (out[305].status, out[305].rule) == ("ok", "vizinho_cep5") and float(out[305].lat) == pytest.approx(A[0] - 0.014) and float(out[305].lng) == pytest.approx(A[1])
+    out, state = scenario(spark, f, rows, LinkParams(dilate=0, envelope=False, neighbours=False))
+    assert (out[305].status, out[305].lat, state[305].motive) == ("ambiguo", "", "fora_do_footprint")
+
+
+def test_recovery_after_conflict(spark):
+    east = (A[0], A[1] + 0.08)
+    f = [feature(1, "rua alfa capela", A), feature(2, "rua beta leste", east), feature(3, "rua vizinha capela um", A, (-0.001, 0)), feature(4, "rua vizinha capela dois", A, (0.001, -0.001)), feature(5, "rua vizinha capela tres", A, (-0.0005, 0.001)), feature(6, "rua neuchatel", A, (0, 0.0003)), feature(7, "rua neuchatel", east, (0, -0.0003), n=40), feature(8, "rua gama taboao", east, (0.001, 0)), feature(9, "rua vizinha taboao um", east, (-0.001, 0.001)), feature(10, "rua vizinha taboao dois", east, (0.0005, -0.001)), feature(11, "rua vizinha taboao tres", east, (-0.0005, 0.0005))]
+    one = [(400, "Alfa Capela", "04781001"), (401, "Beta Leste", "04782001"), (402, "Vizinha Capela Um", "04781010"), (403, "Vizinha Capela Dois", "04781020"), (404, "Vizinha Capela Tres", "04781040"), (606476, "Neuchatel", "04781030")]
+    three = [(410, "Gama Taboao", "09663001"), (411, "Vizinha Taboao Um", "09663010"), (412, "Vizinha Taboao Dois", "09663011"), (413, "Vizinha Taboao Tres", "09663012"), (564372, "Neuchatel", "09663020")]
+    rows = [(i, "1", "10", n, c) for i, n, c in one] + [(i, "3", "13", n, c) for i, n, c in three]
+    out, state = scenario(spark, f, rows)
+    assert out[564372].status == "ok" and float(out[564372].lng) == pytest.approx(east[1] - 0.0003)
+    assert (out[606476].status, out[606476].rule, state[606476].phase) == ("ok", "vizinho_cep5", "pos_conflito") and float(out[606476].lng) == pytest.approx(A[1] + 0.0003)
+    out, _ = scenario(spark, f, rows, LinkParams(neighbours=False))
+    assert (out[606476].status, out[606476].lat) == ("ambiguo", "")
+
+
+def test_states_apart_and_without_features(spark):
+    f = [(*feature(n, "rua igual", at), uf) for n, at, uf in ((1, A, "SP"), (2, (A[0] + 0.001, A[1]), "RJ"), (3, FAR, "RJ"))] + [(*feature(4, "rua so do rio", FAR), "RJ"), (5, "5", "", "", "residential", 1, *[0.0] * 6, "MG")]
+    rows = [(1, "SP", "1", "Igual"), (2, "RJ", "2", "So do Rio"), (3, "SP", "1", "So do Rio"), (4, "BA", "3", "Igual"), (5, "MG", "4", "Igual")]
+    reg = spark.createDataFrame([(i, str(i), uf, loc, "", "", name, "", f"1111100{i}", "Rua", "S", "") for i, uf, loc, name in rows], REGISTER)
+    loc = spark.createDataFrame([(x, x, "", "") for x in "1234"], "loc_nu string, name string, sub string, ibge string")
+    got = link.link(reg, spark.createDataFrame(f, FEATURE + ", uf string"), loc)
+    state = {r.ord: (r.status, r.cid) for r in got.state.collect()}
+    assert state[1][0] == "ok" and state[1][1].startswith("SP|rua igual|") and state[2][0] == "ok"
+    assert {i: state[i][0] for i in (3, 4, 5)} == {3: "sem_nome_osm", 4: "sem_extract", 5: "sem_extract"}
+    none, _ = scenario(spark, [], [(1, "1", "10", "Igual", "11111000")])
+    assert none[1].status == "sem_extract"

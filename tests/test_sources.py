@@ -111,6 +111,13 @@ def test_cache(spark, tmp_path):
     postal_cache.save(df, str(tmp_path / "out"))
     postal_cache.save(df.where("state = 'RJ'"), str(tmp_path / "out"))
     assert sorted(d for d in os.listdir(tmp_path / "out") if d.startswith("uf=")) == ["uf=RJ", "uf=SP"]
+    base = {n: "" for n in df.columns}
+    more = spark.createDataFrame([base | {"cep": "20000000", "status": "error", "state": "MG", "ord": 1}, base | {"cep": "01999999", "status": "ok", "state": "SP", "ord": 2}], ", ".join(f"{n} string" for n in df.columns if n != "ord") + ", ord long")
+    before = {r.cep: r for r in postal_cache.load_states(spark, str(tmp_path / "out")).collect()}
+    assert postal_cache.merge(more, str(tmp_path / "out")) == ["MG", "RJ", "SP"]
+    after = {r.cep: r for r in postal_cache.load_states(spark, str(tmp_path / "out")).collect()}
+    assert set(after) == set(before) | {"01999999"} and after["20000000"].state == "MG" and after["01310100"] == before["01310100"]
+    assert postal_cache.merge(more.limit(0), str(tmp_path / "out")) == [] and postal_cache.load_states(spark, str(tmp_path / "none")).count() == 0
     fetched = postal_cache.fetch(df.select("cep").limit(1), lambda cep: {"status": "ok", "lat": "1"}).first()
     assert fetched.status == "ok" and fetched.lat == "1"
 
