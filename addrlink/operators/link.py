@@ -327,7 +327,7 @@ def prepared(features: DataFrame, p: LinkParams) -> tuple[DataFrame, DataFrame]:
 def link(register: DataFrame, features: DataFrame, localities: DataFrame, p: LinkParams | None = None, rounds: int = 2, families: tuple[str, ...] = ()) -> Linked:
     """Run the cascade and all phases; ``state`` has one row a register row.
 
-    Tables that several phases read are checkpointed, so that no phase is planned or run twice. ``families`` restricts the cascade to some key
+    Tables that several phases read are checkpointed, so that no phase is planned or run twice; with one round, what is read once is not. ``families`` restricts the cascade to some key
     families; with ``rounds`` 1 the phases after the first round are left out.
     Features without a place or name take no part; rows of a state without any feature are ``sem_extract``.
     """
@@ -337,12 +337,13 @@ def link(register: DataFrame, features: DataFrame, localities: DataFrame, p: Lin
     clusters, members = (cut(x) for x in prepared(features, p))
     keys = key_table(clusters, features)
     keys = keys.where(F.col("family").isin(list(families))) if families else keys
-    cand = cut(candidates(rows, cut(keys), p.fuzzy))
-    base = cut(trim_outliers(anchor_points(rows, clusters, members), p.anchor_radius_km, p.mass_cell))
+    later = cut if rounds > 1 else lambda df: df
+    cand = cut(candidates(rows, cut(keys) if p.fuzzy else keys, p.fuzzy))
+    base = later(trim_outliers(anchor_points(rows, clusters, members), p.anchor_radius_km, p.mass_cell))
     own = footprint(base, p.footprint_cell, p.dilate)
     cells = cut(inherit(own, localities))
-    centre = cut(centres(base))
-    state = cut(round_one(considered(rows, cand, clusters, members, cells, p.footprint_cell), p.max_extent_km).select("ord", "loc_nu", "rank", "status", "motive", "cid", "n_candidates"))
+    centre = later(centres(base))
+    state = later(round_one(considered(rows, cand, clusters, members, cells, p.footprint_cell), p.max_extent_km).select("ord", "loc_nu", "rank", "status", "motive", "cid", "n_candidates"))
     if rounds > 1:
         matched = state.where("status = 'ok'").join(members.select("cid", "lat", "lng", F.col("ord").alias("f_ord")), "cid").select("loc_nu", "lat", "lng", (F.lit(1 << 62) + F.col("ord") * (1 << 20) + F.col("f_ord") % (1 << 20)).alias("ord"))
         grown = footprint(trim_outliers(base.join(matched.select("loc_nu").distinct(), "loc_nu", "left_semi").unionByName(matched), p.anchor_radius_km, p.mass_cell), p.footprint_cell, p.dilate)

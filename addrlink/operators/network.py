@@ -125,6 +125,13 @@ def densify(ways: DataFrame, found: DataFrame, p: NetworkParams | None = None) -
     return vertices.unionByName(nearest.select("way", "z.along", "z.lat", "z.lng", F.col("kind").alias("label"))).groupBy("way").applyInPandas(_anchors(p.max_segment_km), "way long, along double, lat double, lng double, label string")
 
 
+def counts(found: DataFrame, points: DataFrame, geometry: DataFrame) -> DataFrame:
+    """(kind, value, n): hits by kind, dense points by origin, ways by one-way code (0 where there is none)."""
+    of = lambda df, kind, value: df.groupBy(F.lit(kind).alias("kind"), value.alias("value")).agg(F.count("*").alias("n"))
+    code = F.coalesce(F.nullif(F.col("oneway").cast("string"), F.lit("")), F.lit("0"))
+    return of(found, "hit", F.col("kind")).unionByName(of(points, "point", F.col("label"))).unionByName(of(geometry, "oneway", code))
+
+
 def geometry_of(geometry: DataFrame, ids: DataFrame) -> DataFrame:
     """The first geometry row of each wanted id."""
     from .extract import first_of

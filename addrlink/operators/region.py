@@ -143,12 +143,16 @@ def resolve(features: DataFrame, polygon: DataFrame | None, key: str, states: tu
 
 
 def relabel(slices: DataFrame, polygon: DataFrame) -> DataFrame:
-    """Rows of all slices once each (first slice, file and line win by kind and id), with ``new_uf``: polygon, known old label, XX."""
+    """Rows of all slices once each (first slice, file and line win by kind and id), with ``new_uf``: polygon, known old label, XX.
+
+    ``polygon`` is (osm_id, poly), or (osm_type, osm_id, poly) where kinds share ids.
+    """
     from .extract import first_of
 
     once = first_of(slices, ["osm_type", "osm_id"], ["slice", "file", "line"])
     known = F.when(F.col("uf").isin(list(STATE_BOX)), F.col("uf"))
-    return once.join(polygon, "osm_id", "left").withColumn("new_uf", F.coalesce("poly", known, F.lit("XX"))).drop("poly")
+    on = [c for c in ("osm_type", "osm_id") if c in polygon.columns]
+    return once.join(polygon, on, "left").withColumn("new_uf", F.coalesce("poly", known, F.lit("XX"))).drop("poly")
 
 
 def relabel_geometry(geometry: DataFrame, streets: DataFrame, polygon_of_first: DataFrame) -> DataFrame:

@@ -245,16 +245,26 @@ def _ways(spark, sf_dir):
     return f.select(k.alias("way"), F.array(pt(y, x), pt(y + dy, x + dx)).alias("points"))
 
 
+def network_counts(spark, sf_dir):
+    """Hits by kind, vertices of ways, ways by one-way code."""
+    w = _ways(spark, sf_dir)
+    vertices = network.segments(w).select(F.lit("vertice").alias("label"))
+    return network.counts(network.crossings(w, 0.002), vertices, w.select(F.when(F.col("way") % 5 != 0, (F.col("way") % 4).cast("string")).alias("oneway")))
+
+
 def way_crossings(spark, sf_dir):
     """Proper crossings of short ways."""
     return network.crossings(_ways(spark, sf_dir), 0.002).select("way_a", "way_b", F.round("lat", 9).alias("lat"), F.round("lng", 9).alias("lng"))
 
 
 _SEG = f"""s AS (SELECT ord AS way, lat AS ay, lng AS ax, lat + (ord % 7 - 3) * 0.0006::DOUBLE AS "by", lng + ((ord % 11 - 5) * 0.0006::DOUBLE + 0.00013::DOUBLE) AS bx FROM ({D_POINT}) v)"""
-WAY_CROSSINGS = f"""
+_CROSSED = f"""
 WITH {_SEG}, j AS (SELECT a.way AS way_a, b.way AS way_b, a.ay, a.ax, a."by" - a.ay AS ry, a.bx - a.ax AS rx, b."by" - b.ay AS sy, b.bx - b.ax AS sx, b.ay - a.ay AS wy, b.ax - a.ax AS wx FROM s a JOIN s b ON a.way < b.way AND a.way % 25 = b.way % 25 AND abs(a.ay - b.ay) < 0.01 AND abs(a.ax - b.ax) < 0.02),
 k AS (SELECT *, rx * sy - ry * sx AS den FROM j), t AS (SELECT *, (wx * sy - wy * sx) / nullif(den, 0) AS t, (wx * ry - wy * rx) / nullif(den, 0) AS u FROM k)
-SELECT way_a, way_b, round(ay + t * ry, 9) AS lat, round(ax + t * rx, 9) AS lng FROM t WHERE abs(den) >= 1e-18 AND t > 1e-9 AND t < 1 - 1e-9 AND u > 1e-9 AND u < 1 - 1e-9"""
+SELECT way_a, way_b, ay + t * ry AS lat, ax + t * rx AS lng FROM t WHERE abs(den) >= 1e-18 AND t > 1e-9 AND t < 1 - 1e-9 AND u > 1e-9 AND u < 1 - 1e-9"""
+WAY_CROSSINGS = f"SELECT way_a, way_b, round(lat, 9) AS lat, round(lng, 9) AS lng FROM ({_CROSSED}) c"
+NETWORK_COUNTS = f"""SELECT 'hit' AS kind, 'cruzamento' AS value, count(*) AS n FROM ({_CROSSED}) c HAVING count(*) > 0 UNION ALL SELECT 'point', 'vertice', count(*) FROM ({D_POINT}) v
+UNION ALL SELECT 'oneway', CASE WHEN ord % 5 <> 0 THEN CAST(ord % 4 AS VARCHAR) ELSE '0' END AS value, count(*) FROM ({D_POINT}) v GROUP BY 2"""
 
 
 def way_touches(spark, sf_dir):
@@ -262,11 +272,12 @@ def way_touches(spark, sf_dir):
     return network.touches(_ways(spark, sf_dir), 0.002, 0.02).select("way_a", "way_b", F.round("lat", 9).alias("lat"), F.round("lng", 9).alias("lng"))
 
 
-WAY_TOUCHES = f"""
+_TOUCHED = f"""
 WITH {_SEG}, e AS (SELECT way AS e_way, ay AS py, ax AS px FROM s UNION SELECT way, "by", bx FROM s),
 j AS (SELECT *, greatest(0, least(1, ((px - ax) * (bx - ax) + (py - ay) * ("by" - ay)) / nullif(pow(bx - ax, 2) + pow("by" - ay, 2), 0))) AS t FROM s JOIN e ON way <> e_way AND abs(py - ay) < 0.01 AND abs(px - ax) < 0.01),
 k AS (SELECT *, ay + t * ("by" - ay) AS y, ax + t * (bx - ax) AS x FROM j)
-SELECT least(way, e_way) AS way_a, greatest(way, e_way) AS way_b, round(y, 9) AS lat, round(x, 9) AS lng FROM k WHERE t > 0 AND t < 1 AND {km('py', 'px', 'y', 'x')} <= 0.02"""
+SELECT least(way, e_way) AS way_a, greatest(way, e_way) AS way_b, y AS lat, x AS lng FROM k WHERE t > 0 AND t < 1 AND {km('py', 'px', 'y', 'x')} <= 0.02"""
+WAY_TOUCHES = f"SELECT way_a, way_b, round(lat, 9) AS lat, round(lng, 9) AS lng FROM ({_TOUCHED}) t"
 
 
 def street_edges(spark, sf_dir):
@@ -275,6 +286,15 @@ def street_edges(spark, sf_dir):
     return network.edges(network.hits(w, NetworkParams(touch_km=0.02)), w.select("way", (F.col("way") % 400).alias("street")))
 
 
+STREET_EDGES = f"""
+WITH {_SEG}, v AS (SELECT DISTINCT way, floor(lat * 1e6 + 0.5) AS a, floor(lng * 1e6 + 0.5) AS b, lat, lng FROM (SELECT way, ay AS lat, ax AS lng FROM s UNION ALL SELECT way, "by", bx FROM s) x),
+every AS (SELECT p.way AS way_a, q.way AS way_b, p.lat, p.lng, 'conexao' AS kind FROM v p JOIN v q USING (a, b) WHERE p.way < q.way
+  UNION ALL SELECT way_a, way_b, lat, lng, 'conexao' FROM ({_TOUCHED}) t UNION ALL SELECT way_a, way_b, lat, lng, 'cruzamento' FROM ({_CROSSED}) c),
+h AS (SELECT way_a, way_b, kind, floor(lat * 1e6 + 0.5) AS a, floor(lng * 1e6 + 0.5) AS b, min(lat) AS lat, min(lng) AS lng FROM every GROUP BY ALL),
+e AS (SELECT CAST(way_a % 400 AS VARCHAR) AS sa, CAST(way_b % 400 AS VARCHAR) AS sb, * FROM h)
+SELECT least(sa, sb) AS lo, greatest(sa, sb) AS hi, kind, way_a, way_b, floor(lat * 1e7 + 0.5) / 1e7 AS lat, floor(lng * 1e7 + 0.5) / 1e7 AS lng FROM e WHERE sa <> sb"""
+
+
 def dense_points(spark, sf_dir):
     """Vertices, hits and samples along each way."""
     w = _ways(spark, sf_dir)
@@ -488,6 +508,6 @@ def path_inventory(spark, sf_dir):
 
 PATH_INVENTORY = "SELECT '/' || event_type AS path, CAST(user_id % 20 AS VARCHAR) AS k, count(*) AS n, min(event_id) AS first, arg_min(value, event_id) AS first_value, CASE WHEN count(*) > 1 THEN max(event_id) END AS last, CASE WHEN count(*) > 1 THEN arg_max(value, event_id) END AS last_value FROM events GROUP BY ALL"
 
-_NAMES = "link_exact_round1 link_full link_owners name_clusters footprints locality_centres way_geometry polygon_check polygon_validation polygon_worst polygon_lookup state_resolution way_crossings way_touches street_edges dense_points geocode_signals signal_hints tag_keys coordinate_layout coordinate_sequence event_sessions floor_percentiles cache_last cache_import cache_upsert municipal_boxes postal_quality sample_quota nearest_parts address_points relabelled stable_sample path_inventory".split()
+_NAMES = "link_exact_round1 link_full link_owners name_clusters footprints locality_centres way_geometry polygon_check polygon_validation polygon_worst polygon_lookup state_resolution way_crossings way_touches street_edges network_counts dense_points geocode_signals signal_hints tag_keys coordinate_layout coordinate_sequence event_sessions floor_percentiles cache_last cache_import cache_upsert municipal_boxes postal_quality sample_quota nearest_parts address_points relabelled stable_sample path_inventory".split()
 QUERIES = {n: globals()[n] for n in _NAMES}
 SQL = {n: globals()[n.upper()] for n in _NAMES if n.upper() in globals()} | {"link_exact_round1": LINK_ROUND1}
