@@ -2,12 +2,13 @@
 
 Texts with equal sets are one class and take part once. Candidates come from
 equal groups (see ``shingles``): buckets of one class level in which all sets hold
-the same tokens of one group.
+the same tokens of one group. Each set leaves as many of its largest buckets as it
+can without missing a similar set.
 
-First every set meets the least one of each of its buckets only, so a family of
+First every set meets the least one of each of its buckets only, so a group of
 thousands costs thousands of comparisons, not millions. Buckets whose sets are all
-connected then are done. The sets of the others form families, tied together by
-those buckets; the count vectors of a family are packed into two-level R-trees, in
+connected then are done. The sets of the others meet as families, the buckets of one
+least set; the count vectors of a family are packed into two-level R-trees, in
 blocks of bounded size, and leaf pairs, then pairs of different components, survive
 where the sum of coordinate minima (of leaf maxima, then of vectors) reaches the
 overlap that the similarity needs. Survivors are verified on their token sets. So
@@ -15,7 +16,9 @@ every link between different components is found, and components are exact, whil
 pairs within one are not all listed.
 
 A tree over all vectors at once does not prune (in tens of dimensions every leaf
-overlaps every query), hence trees for each family.
+overlaps every query), hence trees for each family. Families are not tied together
+further where they share sets: a few common passages would make one of a large part
+of the corpus, whose cost is its square.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shingles
@@ -33,14 +36,21 @@ from .common import materialize, partitions, passes, sieve_apart, sieve_bits, ti
 from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
-LEAF, BLOCK = 32, 2000
-BUCKET = 4_000_000  # shingles whose keys a bucket holds, on average
+LEAF, BLOCK = 32, 4000
+BLOCK_BYTES = 16_000_000  # of count vectors in a block
+BATCH = 500  # rows with count vectors or token sets that go to Python at once
+BUCKET = 12_000_000  # shingles whose keys a bucket holds, on average
 
 
 def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
 
 
+def _unit(lv: int, percent: int) -> int:
+    """Spare keys travel as a byte, in units of this (rounded down: fewer are left out, no pair is missed)."""
+    return shingles.groups(lv, percent) // 256 + 1
+
+
 def _describe(k: int, percent: int, buckets: int, keyed: bool):
     """Texts to rows (doc_id, set size, class, hash of the text), or, when ``keyed``, to blocks of keys (bucket, block)."""
 
@@ -55,58 +65,74 @@ def _describe(k: int, percent: int, buckets: int, keyed: bool):
                 if not keyed:
                     yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sizes), pa.array(signed(names), mask=sizes == 0), batch.column(2).slice(at, n)], names=["doc_id", "n", "cls", "row"])
                     continue
-                key, who, level = [], [], []
+                # an entry for each level of a new set: its class, size, level and spare keys
+                key, count, entry = [], [], []
                 for d in range(n):
                     if sizes[d] >= shingles.least(percent) and (c := int(names[d])) not in seen:
                         seen.add(c)
-                        for lv, x in shingles.keys(sets[d], percent):
+                        for lv, x, spare in shingles.keyed(sets[d], percent):
                             key.append(x)
-                            who.append(np.full(len(x), d))
-                            level.append(np.full(len(x), lv, np.uint8))
+                            count.append(len(x))
+                            entry.append((d, lv, spare // _unit(lv, percent)))
                 if not key:
                     continue
-                key, who, level = np.concatenate(key), np.concatenate(who), np.concatenate(level)
+                key, who = np.concatenate(key), np.repeat(np.arange(len(entry)), count)
+                of, level, spare = np.array(entry).T
                 bucket = ((key >> U(32)) * U(buckets) >> U(32)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
-                key, who, level = key[order], who[order], level[order]
+                key, who = key[order].astype(np.uint32), who[order]
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                raws, to = [], []
-                for b in range(buckets):
-                    if cut[b] < cut[b + 1]:
-                        part_ = slice(cut[b], cut[b + 1])
-                        docs_, where = np.unique(who[part_], return_inverse=True)
-                        raws.append(pack(key[part_], where.reshape(-1).astype(np.uint16), level[part_], names[docs_], sizes[docs_].astype(np.uint32)))
-                        to.append(b)
+                raws, to = [], np.flatnonzero(np.diff(cut)).tolist()
+                for b in to:
+                    here, many = np.unique(who[cut[b] : cut[b + 1]], return_counts=True)
+                    raws.append(pack(key[cut[b] : cut[b + 1]], many.astype(np.uint32), names[of[here]], sizes[of[here]].astype(np.uint32), level[here].astype(np.uint8), spare[here].astype(np.uint8)))
                 yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(raws, pa.binary())], names=["bucket", "raw"])
         tidy()
 
     return run
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the buckets that hold several classes, with the bucket's least class as its centre."""
-    held = [unpack(raw, np.uint64, np.uint16, np.uint8, np.uint64, np.uint32) for batch in batches for raw in batch.column(0).to_pylist()]
-    if not held:
-        return
-    key = np.concatenate([x[0] for x in held])
-    cls = np.concatenate([x[3][x[1]] for x in held])
-    size = np.concatenate([x[4][x[1]] for x in held])
-    level = np.concatenate([x[2] for x in held])
-    del held
-    order = np.lexsort((cls, key))
-    key, cls, size, level = key[order], cls[order], size[order], level[order]
-    kept = np.r_[True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])]
-    key, cls, size, level = key[kept], cls[kept], size[kept], level[kept]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    count = np.diff(np.r_[first, len(key)])
-    many = np.repeat(count > 1, count)
-    head = np.repeat(first, count)[many]
-    for at in range(0, int(many.sum()), 200_000):
-        s = slice(at, at + 200_000)
-        cols = [signed(key[many][s]), signed(cls[many][s]), size[many][s].astype(np.int64), level[many][s].astype(np.int32), signed(cls[head][s]), size[head][s].astype(np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "cls", "n", "level", "centre", "centre_n"])
-    del key, cls, size, level, order, head, many, kept
-    tidy()
+def _meet(percent: int):
+    """Blocks to rows of the buckets that hold several classes, with the number of classes that each holds.
+
+    Of a key 32 bits travel and the bucket of the shuffle stands for the others; keys that
+    agree by chance cost comparisons only.
+    """
+
+    def bucket(number: int, held: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        key, many, names, sizes, level, spare = (np.concatenate([x[i] for x in held]) for i in range(6))
+        who = np.repeat(np.arange(len(many), dtype=np.uint32), many)
+        order = np.argsort(key, kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0])
+        count = np.diff(np.r_[first, len(order)])
+        order = order[np.repeat(count > 1, count)]
+        key, who = key[order].astype(U) | level[who[order]].astype(U) << U(32) | U(number << 40), who[order]
+        cls = names[who]
+        order = np.lexsort((cls, key))
+        key, cls, who = key[order], cls[order], who[order]
+        kept = np.r_[True, (key[1:] != key[:-1]) | (cls[1:] != cls[:-1])][: len(key)]  # several tasks may meet a class
+        key, cls, who = key[kept], cls[kept], who[kept]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, int)
+        count = np.diff(np.r_[first, len(key)])
+        count = np.repeat(count, count)
+        key, cls, who, count = (x[count > 1] for x in (key, cls, who, count))
+        unit = np.array([_unit(lv, percent) for lv in range(int(level.max()) + 1)])
+        for at in range(0, len(key), 200_000):
+            s = slice(at, at + 200_000)
+            w = who[s]
+            cols = [signed(key[s]), signed(cls[s]), sizes[w].astype(np.int64), level[w].astype(np.int32), (spare[w] * unit[level[w]]).astype(np.int32), count[s].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "cls", "n", "level", "spare", "held"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            for to, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.setdefault(to, []).append(unpack(raw, np.uint32, np.uint32, np.uint64, np.uint32, np.uint8, np.uint8))
+        while held:
+            yield from bucket(*held.popitem())
+        tidy()
+
+    return run
 
 
 def needed(a: np.ndarray | int, b: np.ndarray | int, percent: int):
@@ -271,7 +297,11 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     buckets = max(partitions(spark), -(-(described.agg(F.sum("n")).first()[0] or 0) // BUCKET))  # a worker holds one bucket
     # the keys are made in a pass of their own, straight into their shuffle: written first they would take as much disk again
     blocks = rows.mapInArrow(_describe(k, percent, buckets, True), "bucket int, raw binary")
-    found = materialize(blocks.repartition(buckets, "bucket").select("raw").mapInArrow(_meet, "key long, cls long, n long, level int, centre long, centre_n long"), "buckets")
+    met = materialize(blocks.repartition(buckets, "bucket").mapInArrow(_meet(percent), "key long, cls long, n long, level int, spare int, held int"), "met")
+    rarest = F.row_number().over(Window.partitionBy("cls", "level").orderBy(F.desc("held"), "key"))
+    of_key = Window.partitionBy("key")
+    kept = met.withColumn("nth", rarest).where("nth > spare").select("key", "cls", "n", "level", F.min(F.struct("cls", "n")).over(of_key).alias("one"), F.count("*").over(of_key).alias("held"))
+    found = materialize(kept.where("held > 1").select("key", "cls", "n", "level", F.col("one.cls").alias("centre"), F.col("one.n").alias("centre_n")), "buckets")
     least = described.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("least"))
 
     # count vectors of the classes that share a bucket, from one row of each; token sets of the few pairs that come to be verified
@@ -300,20 +330,20 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     fits = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
     stars = found.where("cls != centre").select(F.col("centre").alias("a"), F.col("cls").alias("b"), F.col("centre_n").alias("na"), F.col("n").alias("nb"), "level").where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("level").alias("level"))
     likely = stars.join(side("a"), ["a", "level"]).join(side("b"), ["b", "level"]).select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bounded(percent), "a long, b long")
-    links = materialize(verified(materialize(likely, "likely")), "links")
+    links = materialize(verified(materialize(likely, "likely", BATCH)), "links")
     roots = components(links)
 
-    # sets of buckets that still hold several components; those that such buckets tie together meet as one family, each set once
-    placed = found.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "level", F.coalesce("root", "cls").alias("comp"))
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min("cls").alias("a")).where("x != y").select("key", "a")
-    left = materialize(placed.join(open_, "key").select("a", F.col("cls").alias("b"), "n", "level", "comp").distinct(), "open")
-    families = components(left.select("a", "b")).withColumnsRenamed({"node": "cls", "root": "key"})
-    cross = left.select(F.col("b").alias("cls"), "n", "level", "comp").distinct().join(families, "cls")
-    sizes = cross.groupBy("key", "level").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # sets of buckets that still hold several components; those of one least set meet as one family, each set once
+    placed = found.join(roots.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", "n", "level", "centre", F.coalesce("root", "cls").alias("comp"))
+    open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
+    cross = materialize(placed.join(open_, "key").select(F.col("centre").alias("key"), "cls", "n", "level", "comp").distinct(), "open")
+    top = cross.agg(F.max("level")).first()[0] or 0
+    room = F.element_at(F.array(*(F.lit(max(1, min(BLOCK, BLOCK_BYTES // (8 * shingles.groups(lv, percent))))) for lv in range(top + 1))), F.col("level") + 1)
+    sizes = cross.groupBy("key", "level").agg(F.count("*").alias("sets")).select("key", "level", F.ceil(F.col("sets") / room).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
     dealt = cross.join(sizes, ["key", "level"]).join(vectors, ["cls", "level"]).withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "level", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "vector")
     grouped = dealt.repartition(buckets, "key", "level", "low", "high").sortWithinPartitions("key", "level", "low", "high")
-    more = materialize(verified(materialize(grouped.mapInArrow(_search(percent), "a long, b long").distinct(), "survivors")), "links")
+    more = materialize(verified(materialize(grouped.mapInArrow(_search(percent), "a long, b long").distinct(), "survivors", BATCH)), "links")
     final = components(links.unionByName(more))
     joined = least.join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     tops = joined.groupBy("root").agg(F.min("least").alias("component_id"))

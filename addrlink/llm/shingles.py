@@ -11,6 +11,10 @@ class are compared only where they have an equal group. The number of groups of
 class is fixed by its largest size; sets near the upper end of a class also take
 part in the next one. An equal group that holds tokens exists unless all of them
 lie in at most D groups; such sets add keys for their empty groups too.
+
+A set whose tokens lie in g > D groups has at least g - D of them equal to those of
+any similar set. So it can do without its g - D - 1 most frequent keys: the rarest
+key that both hold (in one order of all keys) is among what is left of both.
 """
 
 from __future__ import annotations
@@ -72,13 +76,16 @@ def group_of(tokens: np.ndarray, m: int) -> np.ndarray:
     return ((mix(tokens ^ U(0x2545F4914F6CDD1D)) >> U(32)) * U(m) >> U(32)).astype(np.int64)
 
 
+def groups(lv: int, percent: int) -> int:
+    """The number of groups of a class."""
+    m = most_apart(upper(lv, percent) - 1, upper(lv, percent) - 1, percent) + 1
+    return m + m // 8 + 1  # room for groups without tokens
+
+
 def levels(n: int, percent: int) -> list[tuple[int, int]]:
     """The classes that a set of n tokens takes part in, with their numbers of groups."""
-    own, out = level(n, percent), []
-    for lv in (own, own + 1) if 100 * upper(own, percent) * percent <= 100 * 100 * n else (own,):
-        m = most_apart(upper(lv, percent) - 1, upper(lv, percent) - 1, percent) + 1
-        out.append((lv, m + m // 8 + 1))  # room for groups without tokens
-    return out
+    own = level(n, percent)
+    return [(lv, groups(lv, percent)) for lv in ((own, own + 1) if 100 * upper(own, percent) * percent <= 100 * 100 * n else (own,))]
 
 
 def group_keys(tokens: np.ndarray, lv: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,18 +102,24 @@ def _tag(lv: int) -> np.uint64:
     return U(lv + 1) << U(40)
 
 
-def keys(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
-    """Keys of a set at each of its levels."""
+def keyed(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray, int]]:
+    """Each level of a set, its keys there, and how many of the most frequent of them it can do without."""
     n, out = len(tokens), []
     for lv, m in levels(n, percent):
         group, found, _ = group_keys(tokens, lv, m)
-        if len(group) <= most_apart(n, min(upper(lv, percent) - 1, 100 * n // percent), percent):
+        apart = most_apart(n, min(upper(lv, percent) - 1, 100 * n // percent), percent)
+        if len(group) <= apart:
             empty = np.setdiff1d(np.arange(m), group).astype(U)
             found = np.concatenate([found, mix(_tag(lv) + empty + U(0xE0 << 48))])
-        out.append((lv, found))
+        out.append((lv, found, max(0, len(group) - apart - 1)))
     return out
 
 
+def keys(tokens: np.ndarray, percent: int) -> list[tuple[int, np.ndarray]]:
+    """Keys of a set at each of its levels."""
+    return [(lv, found) for lv, found, _ in keyed(tokens, percent)]
+
+
 def vector(tokens: np.ndarray, lv: int, m: int) -> bytes:
     """The count of each group (32 bits), then 32 bits of the key of its content (0 where it is empty)."""
     group, key, count = group_keys(tokens, lv, m)

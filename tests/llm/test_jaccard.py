@@ -126,6 +126,61 @@ def test_blocks_of_large_buckets(spark, monkeypatch):
     assert got == plain(docs, 4, 85)
 
 
+def test_families_are_not_tied_together(spark, monkeypatch, tmp_path):
+    """Texts that share a passage with the next one only: each is searched against its neighbours, not the whole chain."""
+    rng = random.Random(8)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passages = [words(84) for _ in range(121)]
+    docs = [(i, " ".join([*passages[i], *passages[i + 1]])) for i in range(120)]
+    docs += [(200 + i, f"{docs[i][1]} and more") for i in range(0, 120, 10)]
+    search, log = jaccard._search, tmp_path / "rows"
+
+    def counted(percent):
+        def run(batches):
+            held = list(batches)
+            with open(log, "a") as f:
+                f.write("".join(f"{b.num_rows}\n" for b in held))
+            return search(percent)(iter(held))
+
+        return run
+
+    monkeypatch.setattr(jaccard, "_search", counted)
+    monkeypatch.setattr(jaccard, "BLOCK", 3)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+    assert got == plain(docs, 4, 85)
+    assert sum(map(int, log.read_text().split() if log.exists() else [])) <= len(docs)
+
+
+@pytest.mark.parametrize("percent", [60, 80, 85])
+def test_rarest_key_of_similar_sets_is_kept_by_both(percent):
+    rng, left_out = np.random.default_rng(2), 0
+    for n in list(range(shingles.least(percent), 40)) * 8 + [100, 170, 230, 400, 900] * 10:
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[: n - rng.integers(0, n // 10 + 1)], rng.integers(0, 2**63, rng.integers(0, n // 10 + 1), dtype=np.uint64)])
+        same = len(np.intersect1d(a, b))
+        if 100 * same < percent * (len(a) + len(b) - same):
+            continue
+        held = {int(x): rng.integers(1, 9) for s in (a, b) for _, ks, _ in shingles.keyed(s, percent) for x in ks}
+        kept = []
+        for s in (a, b):
+            kept.append({int(x) for _, ks, spare in shingles.keyed(s, percent) for x in sorted(ks, key=lambda x: (-held[int(x)], int(x)))[spare:]})
+            left_out += sum(spare for _, _, spare in shingles.keyed(s, percent))
+        assert kept[0] & kept[1]
+    assert left_out
+
+
+def test_keys_travel_in_few_bytes():
+    """A key takes 4 bytes, and the entry of its set in a bucket 18."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(300)) for _ in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(texts), pa.array(range(100))], names=["doc_id", "text", "row"])
+    keys = sum(len(x) for s in shingles.sets(jaccard.Words(pa.array(texts, pa.large_string()), lower=True), 4) for _, x in shingles.keys(s, 85))
+    raws = [r for b in jaccard._describe(4, 85, 30, True)(iter([batch])) for r in b.column(1).to_pylist()]
+    assert sum(map(len, raws)) - 48 * len(raws) <= 12 * keys
+
+
 def test_keys_of_similar_sets_meet():
     rng = np.random.default_rng(0)
     for _ in range(3000):
