@@ -33,32 +33,48 @@ def with_cells(segs: DataFrame, size: float, margin: int = 1) -> DataFrame:
     return segs.withColumn("ci", span("ay", "by")).withColumn("cj", span("ax", "bx"))
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never sent whole: Spark's estimate of its size does not see what an explode adds."""
+    return df.hint("merge")
+
+
 def shared_vertices(ways: DataFrame) -> DataFrame:
     """Pairs of ways that have a point in common (millionths of a degree)."""
     v = ways.select("way", F.explode("points").alias("p")).select("way", geo.micro("p.lat").alias("a"), geo.micro("p.lng").alias("b"), F.col("p.lat").alias("lat"), F.col("p.lng").alias("lng")).dropDuplicates(["way", "a", "b"])
     w = v.select(F.col("way").alias("other"), "a", "b")
-    return v.join(w, ["a", "b"]).where("way < other").select(F.col("way").alias("way_a"), F.col("other").alias("way_b"), "lat", "lng", F.lit("conexao").alias("kind"))
+    return v.join(apart(w), ["a", "b"]).where("way < other").select(F.col("way").alias("way_a"), F.col("other").alias("way_b"), "lat", "lng", F.lit("conexao").alias("kind"))
+
+
+SHAPE = ["ay", "ax", "by", "bx"]
 
 
 def crossings(ways: DataFrame, size: float) -> DataFrame:
-    """Proper crossings of segments of different ways. A pair meets in many cells and is looked at once."""
+    """Proper crossings of segments of different ways. A pair meets in many cells and is looked at once.
+
+    Segments of one shape are looked at once, too, and become those of their ways where they cross.
+    """
     s = segments(ways)
-    one = with_cells(s, size, 0)
-    two = one.select(*(F.col(c).alias(f"o_{c}") if c not in ("ci", "cj") else F.col(c) for c in one.columns))
+    one = with_cells(s.select(*SHAPE).distinct(), size, 0)
+    two = one.select(*(F.col(c).alias(f"o_{c}") for c in SHAPE), "ci", "cj")
     # the cell that both boxes hold first is the only one in which the pair counts
     top_i, top_j = (F.greatest(geo.cell(F.least(a, b), size), geo.cell(F.least(f"o_{a}", f"o_{b}"), size)) for a, b in (("ay", "by"), ("ax", "bx")))
-    pairs = one.join(two, ["ci", "cj"]).where("way < o_way").where((F.col("ci") == top_i) & (F.col("cj") == top_j))
+    pairs = one.join(apart(two), ["ci", "cj"]).where((F.col("ci") == top_i) & (F.col("cj") == top_j))
     hit = geo.intersection("ay", "ax", "by", "bx", "o_ay", "o_ax", "o_by", "o_bx")
-    return pairs.select(F.col("way").alias("way_a"), F.col("o_way").alias("way_b"), hit.alias("x")).where("x is not null").select("way_a", "way_b", "x.lat", "x.lng", F.lit("cruzamento").alias("kind"))
+    found = pairs.select(*SHAPE, *(f"o_{c}" for c in SHAPE), hit.alias("x")).where("x is not null")
+    other = s.select(F.col("way").alias("o_way"), *(F.col(c).alias(f"o_{c}") for c in SHAPE))
+    both = found.join(apart(s), SHAPE).join(apart(other), [f"o_{c}" for c in SHAPE]).where("way < o_way")
+    return both.select(F.col("way").alias("way_a"), F.col("o_way").alias("way_b"), "x.lat", "x.lng", F.lit("cruzamento").alias("kind"))
 
 
 def touches(ways: DataFrame, size: float, touch_km: float) -> DataFrame:
-    """Ends of ways that lie within ``touch_km`` of the inside of another way's segment."""
+    """Ends of ways that lie within ``touch_km`` of the inside of another way's segment. Equal shapes and equal ends are looked at once."""
+    s = segments(ways)
     ends = ways.where(F.size("points") > 0).select("way", F.explode(F.array(F.get("points", F.lit(0)), F.get("points", F.size("points") - 1))).alias("p")).select(F.col("way").alias("e_way"), F.col("p.lat").alias("py"), F.col("p.lng").alias("px")).distinct()
-    ends = ends.withColumn("ci", geo.cell("py", size)).withColumn("cj", geo.cell("px", size))
-    near = with_cells(segments(ways), size, 1).join(ends, ["ci", "cj"]).where("way != e_way").withColumn("q", geo.project("py", "px", "ay", "ax", "by", "bx"))
-    kept = near.where((F.col("q.km") <= touch_km) & (F.col("q.t") > 0) & (F.col("q.t") < 1))
-    return kept.select(F.least("way", "e_way").alias("way_a"), F.greatest("way", "e_way").alias("way_b"), F.col("q.lat").alias("lat"), F.col("q.lng").alias("lng"), F.lit("conexao").alias("kind"))
+    spots = ends.select("py", "px").distinct().withColumn("ci", geo.cell("py", size)).withColumn("cj", geo.cell("px", size))
+    near = with_cells(s.select(*SHAPE).distinct(), size, 1).join(apart(spots), ["ci", "cj"]).withColumn("q", geo.project("py", "px", "ay", "ax", "by", "bx"))
+    found = near.where((F.col("q.km") <= touch_km) & (F.col("q.t") > 0) & (F.col("q.t") < 1)).select(*SHAPE, "py", "px", F.col("q.lat").alias("lat"), F.col("q.lng").alias("lng"))
+    kept = found.join(apart(s), SHAPE).join(apart(ends), ["py", "px"]).where("way != e_way")
+    return kept.select(F.least("way", "e_way").alias("way_a"), F.greatest("way", "e_way").alias("way_b"), "lat", "lng", F.lit("conexao").alias("kind"))
 
 
 def hits(ways: DataFrame, p: NetworkParams | None = None) -> DataFrame:
@@ -66,14 +82,15 @@ def hits(ways: DataFrame, p: NetworkParams | None = None) -> DataFrame:
     p = p or NetworkParams()
     ways = in_bbox(ways, p.bbox) if p.bbox else ways
     every = shared_vertices(ways).unionByName(touches(ways, p.cell, p.touch_km)).unionByName(crossings(ways, p.cell))
-    return every.withColumn("a", geo.micro("lat")).withColumn("b", geo.micro("lng")).groupBy("way_a", "way_b", "kind", "a", "b").agg(F.min("lat").alias("lat"), F.min("lng").alias("lng"))
+    # dealt by way_a once: the grouping and a join on way_a that follows need no other shuffle
+    return every.withColumn("a", geo.micro("lat")).withColumn("b", geo.micro("lng")).repartition("way_a").groupBy("way_a", "way_b", "kind", "a", "b").agg(F.min("lat").alias("lat"), F.min("lng").alias("lng"))
 
 
 def edges(found: DataFrame, streets: DataFrame) -> DataFrame:
     """Hits as edges between the streets of their ways (ids as strings, lower first); a street does not meet itself."""
     a = streets.select(F.col("way").alias("way_a"), F.col("street").cast("string").alias("sa"))
     b = streets.select(F.col("way").alias("way_b"), F.col("street").cast("string").alias("sb"))
-    both = found.join(a, "way_a").join(b, "way_b").where("sa != sb")
+    both = found.join(apart(a), "way_a").join(apart(b), "way_b").where("sa != sb")
     return both.select(F.least("sa", "sb").alias("lo"), F.greatest("sa", "sb").alias("hi"), "kind", "way_a", "way_b", "a", "b", geo.round7("lat").alias("lat"), geo.round7("lng").alias("lng")).dropDuplicates(["lo", "hi", "kind", "way_a", "way_b", "a", "b"]).drop("a", "b")
 
 
