@@ -160,12 +160,13 @@ def identify(docs: DataFrame, model: Model | None = None, unsure: float = 0.02)
     return one.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Rows of ``docs`` whose text has a language (not ``und``), all columns as they were.
+def keep_known(docs: DataFrame, model: Model | None = None, unsure: float = 0.02) -> DataFrame:
+    """Rows of ``docs`` whose text has a language (not ``und``), with that language in ``lang``.
 
-    Null, empty and letterless texts go. Where nothing could be learned (no row with
-    text and lang) the others all stay. Repeated rows, null ids and other columns
-    stay as they are; an empty table gives none.
+    Null, empty and letterless texts go. ``lang`` becomes the predicted language; where
+    the prediction is ambiguous a language that is given stays. Where nothing could be
+    learned (no row with text and lang) all values stay. Repeated rows, null ids and other
+    columns stay as they are; an empty table gives none.
     """
     model = model or fit(docs)
     sent = docs.sparkSession.sparkContext.broadcast(model)
@@ -173,12 +174,18 @@ def keep_known(docs: DataFrame, model: Model | None = None) -> DataFrame:
     def run(batches):
         m = sent.value
         for batch in batches:
+            to = batch.schema.names.index("lang") if "lang" in batch.schema.names else None
             for at, part in slices(batch.column(batch.schema.names.index("text")), rows=ROWS):
                 known = np.asarray(pc.match_substring_regex(part, r"\p{L}").to_numpy(zero_copy_only=False), bool)
-                if m.names:
-                    _, score, _ = m.predict(features(part))
+                rows = batch.slice(at, len(part))
+                if m.names and to is not None:
+                    k, score, margin = m.predict(features(part))
                     known &= score > 0
-                yield batch.slice(at, len(part)).filter(pa.array(known))
+                    given = rows.column(to)
+                    told = pa.array(np.array(m.names, object)[k], pa.string()).cast(given.type)
+                    sure = pc.or_(pa.array(margin >= unsure), pc.is_null(given))
+                    rows = rows.set_column(to, batch.schema.field(to), pc.if_else(sure, told, given))
+                yield rows.filter(pa.array(known))
         tidy()
 
     return docs.mapInArrow(run, docs.schema)

@@ -105,20 +105,21 @@ class Packer:
         self.level[:] = 0
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, with_ids: bool = False, by: str | None = None) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text) in sequences of at most ``window`` ids.
 
     Null and empty texts are the end id alone. Repeated rows are packed each on
     its own; a null doc_id stays null. An empty table gives no rows. Other columns
-    of ``docs`` are not read. ``with_ids`` adds the ids of each piece. Results
+    of ``docs`` are not read. ``with_ids`` adds the ids of each piece. With ``by`` a
+    sequence holds documents of one value of that column only (null is a value). Results
     depend on the input's splits only, not on the order in which tasks run.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer = encoder(tokenizer), Packer(window)
+        encode, packers = encoder(tokenizer), {}
         first, number = TaskContext.get().partitionId() << 32, 0
 
-        def out() -> pa.RecordBatch:
+        def out(packer: Packer) -> pa.RecordBatch:
             nonlocal number
             rows = []
             for pieces in packer.closed:
@@ -133,15 +134,19 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 4096, end_id: int = 2, w
             return pa.RecordBatch.from_arrays(data + [pa.array(cols[7], pa.list_(pa.int32()))] * with_ids, names=[x.split()[0] for x in COLUMNS.split(", ")] + ["ids"] * with_ids)
 
         for batch in batches:
-            ids_of = batch.column(0).to_pylist()
+            ids_of, kinds = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at, part in slices(batch.column(1), 4_000_000):
-                for doc, ids in zip(ids_of[at : at + len(part)], encode(part), strict=True):
-                    packer.add((doc, len(ids) + 1), np.append(ids, np.int32(end_id)))
-                if packer.closed:
-                    yield out()
-        packer.finish()
-        yield out()
+                for doc, kind, ids in zip(ids_of[at : at + len(part)], kinds[at : at + len(part)], encode(part), strict=True):
+                    if kind not in packers:
+                        packers[kind] = Packer(window)
+                    packers[kind].add((doc, len(ids) + 1), np.append(ids, np.int32(end_id)))
+                for packer in packers.values():
+                    if packer.closed:
+                        yield out(packer)
+        for packer in packers.values():
+            packer.finish()
+            yield out(packer)
         tidy()
 
-    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    one = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.col(by).cast("string") if by else F.lit("")).alias("kind"))
     return one.mapInArrow(run, COLUMNS + ", ids array<int>" * with_ids)

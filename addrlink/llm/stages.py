@@ -10,7 +10,7 @@ from .common import table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (null, or no letter) go."""
+    """Texts without a language (null, or no letter) go; the others get the one that is predicted, which packing goes by."""
     return langid.keep_known(docs)
 
 
@@ -30,8 +30,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of what is left."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Token sequences of what is left, each of one language."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), by="lang")
 
 
 STAGES = [("language", language), ("near_duplicates", near_duplicates), ("benchmarks", benchmarks), ("personal_data", personal_data), ("packing", sequences)]

@@ -105,6 +105,26 @@ def test_pipeline(spark, tmp_path):
         assert len(cut) == r.length and r.doc_tokens == len(ids[r.doc_id]) and zlib.crc32(b"".join(x.to_bytes(4, "little") for x in cut)) == r.ids_crc32
 
 
+def test_language_decides_what_is_packed_together(spark, tmp_path):
+    """Wrong and missing labels become the predicted language, and no sequence mixes two."""
+    rng = random.Random(5)
+    parts = {"en": ["the", "ing", "and"], "fr": ["eau", "oi", "é"]}
+    docs, truth = [], {}
+    for i in range(200):
+        lang = "en" if i % 2 else "fr"
+        truth[i] = lang
+        told = lang if i < 150 else None if i < 175 else "en"
+        docs.append((i, " ".join("".join(rng.choice(parts[lang]) for _ in range(4)) for _ in range(60)), told, "s", 1))
+    df = spark.createDataFrame(docs, DOCS).coalesce(1)
+    one = stages.language(spark, df, str(tmp_path))
+    got = {r.doc_id: r.lang for r in one.collect()}
+    assert sum(got[i] == truth[i] for i in truth) >= 195
+    held = {}
+    for r in stages.sequences(spark, one, str(tmp_path)).collect():
+        held.setdefault(r.sequence_id, set()).add(got[r.doc_id])
+    assert len(held) > 1 and all(len(x) == 1 for x in held.values())
+
+
 def test_stage_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "benchmarks", "personal_data", "packing"]
 
