@@ -22,7 +22,7 @@ from .tokens import Words
 PLAIN = re.compile("[!-~À-įı-ſ]+")
 #: Fixed value: the vocabulary file's pre-tokenizer pattern, for plain lower-case words.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ſ]+|[0-9]|[^a-z0-9ß-öø-ſ]+")
-CACHE_BYTES = 48_000_000  # of words, ids and pieces held, by their usual size in Python
+CACHE_BYTES = 160_000_000  # several times what one slice of texts brings; of words, ids and pieces held, by their usual size in Python
 
 
 def _byte_letters() -> dict[int, str]:
@@ -60,11 +60,15 @@ class Encoder:
         return self.full.encode(text, add_special_tokens=False).ids
 
     def word(self, raw: bytes) -> list[int]:
-        text = raw.decode("utf-8")
-        if not PLAIN.fullmatch(text):
-            return self.encode(text)
+        if raw.isalpha():  # plain letters are one piece
+            pieces = [raw.lower().decode("ascii")]
+        else:
+            text = raw.decode("utf-8")
+            if not PLAIN.fullmatch(text):
+                return self.encode(text)
+            pieces = PIECES.findall(text.lower())
         out: list[int] = []
-        for piece in PIECES.findall(text.lower()):
+        for piece in pieces:
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = self.pieces[piece] = [x.id for x in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(LETTERS))]

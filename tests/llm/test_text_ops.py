@@ -230,3 +230,18 @@ def test_words_that_polynomials_confuse():
     ((_, part),) = slices(pa.array([f"{a} {b}"]))
     words = Words(part)
     assert len(np.unique(words.hash)) == 2 and len(np.unique(words.second())) == 2
+
+
+def test_words_of_one_slice_stay_known_in_the_next():
+    import pyarrow as pa
+
+    from addrlink.llm.bpe import Encoder
+
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghij", k=9)) for _ in range(160_000)]
+    encode = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    once = encode(pa.array([" ".join(words)], pa.large_string()))
+    asked, word = [], encode.word
+    encode.word = lambda raw: asked.append(raw) or word(raw)
+    again = encode(pa.array([" ".join(words)], pa.large_string()))
+    assert not asked and (once[0] == again[0]).all()
