@@ -11,9 +11,9 @@ connected then are done. The sets of the others meet as families, the buckets of
 least set; the count vectors of a family are packed into two-level R-trees, in
 blocks of bounded size, and leaf pairs, then pairs of different components, survive
 where the sum of coordinate minima (of leaf maxima, then of vectors) reaches the
-overlap that the similarity needs. Survivors are verified on their token sets. So
-every link between different components is found, and components are exact, while
-pairs within one are not all listed.
+overlap that the similarity needs. Survivors are verified on their token sets, those
+of a family where they meet and only until its components are connected. So
+components are exact, while pairs within one are not listed.
 
 A tree over all vectors at once does not prune (in tens of dimensions every leaf
 overlaps every query), hence trees for each family. Families are not tied together
@@ -37,7 +37,7 @@ from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
 LEAF, BLOCK = 32, 4000
-BLOCK_BYTES = 16_000_000  # of count vectors in a block
+BLOCK_BYTES = 16_000_000  # of token sets in a block
 BATCH = 500  # rows with count vectors or token sets that go to Python at once
 BUCKET = 12_000_000  # shingles whose keys a bucket holds, on average
 
@@ -219,23 +219,54 @@ class Tree:
                     yield self.order[mine][x], other.order[theirs][y]
 
 
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sets (sorted tokens) link."""
+    same = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * same >= percent * (len(a) + len(b) - same)
+
+
 def _search(percent: int):
-    """Sorted rows of (family, level, low block, high block) groups to the pairs of different components that survive."""
+    """Sorted rows of (family, level, low block, high block) groups to links that connect their components.
+
+    Survivors of the trees are verified here unless what the task has linked so far connects
+    them already, so a task gives fewer links than it has components.
+    """
+    above: dict[int, int] = {}  # of components that the task has connected: one with a lesser root
+
+    def find(c: int) -> int:
+        top = c
+        while top in above:
+            top = above[top]
+        while c != top:
+            above[c], c = top, above[c]
+        return top
 
     def group(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         cls, size, comp, block = (rows.column(c).to_numpy() for c in ("cls", "n", "comp", "block"))
-        counts, marks = shingles.read_vectors(rows.column("vector").to_pylist())
-        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        low, high, lv = (rows.column(c)[0].as_py() for c in ("low", "high", "level"))
+        tokens = [np.frombuffer(raw, U) for raw in rows.column("tokens").to_pylist()]
+        held, label = np.unique(comp, return_inverse=True)
+        root, to = np.unique([find(c) for c in held.tolist()], return_inverse=True)
+        label = to.reshape(-1)[label.reshape(-1)]
+        if len(root) < 2:
+            return
+        counts, marks = shingles.read_vectors([shingles.vector(t, lv, shingles.groups(lv, percent)) for t in tokens])
         a = np.flatnonzero(block == low)
         b = a if low == high else np.flatnonzero(block == high)
         one = Tree(counts[a], size[a], marks[a])
         two = one if low == high else Tree(counts[b], size[b], marks[b])
+        links = []
         for x, y in one.join(two, percent):
             x, y = a[x], b[y]
-            ok = (cls[x] < cls[y]) & (comp[x] != comp[y]) if low == high else comp[x] != comp[y]
-            if ok.any():
-                x, y = x[ok], y[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(cls[x], cls[y])), pa.array(np.maximum(cls[x], cls[y]))], names=["a", "b"])
+            ok = label[x] != label[y]
+            for i, j in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+                if label[i] != label[j] and similar(tokens[i], tokens[j], percent):
+                    links.append((min(cls[i], cls[j]), max(cls[i], cls[j])))
+                    to, gone = min(label[i], label[j]), max(label[i], label[j])  # labels follow the order of roots
+                    above[int(root[gone])] = int(root[to])
+                    label[label == gone] = to
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*links, strict=True)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -319,9 +350,12 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     def side(name: str) -> DataFrame:
         return vectors.select(F.col("cls").alias(name), "level", F.col("vector").alias(f"v{name}"))
 
+    def asked(classes: DataFrame) -> DataFrame:
+        return materialize(one.join(classes.distinct(), "cls", "left_semi"), "asked")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        asked = materialize(one.join(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls", "left_semi"), "asked")
-        tokens = materialize(told(asked, lambda s: (signed(s),), ["tokens"], [pa.list_(pa.int64())], "cls long, tokens array<long>"), "tokens")
+        both = asked(pairs.select(F.explode(F.array("a", "b")).alias("cls")))
+        tokens = materialize(told(both, lambda s: (signed(s),), ["tokens"], [pa.list_(pa.int64())], "cls long, tokens array<long>"), "tokens")
         a, b = (tokens.select(F.col("cls").alias(x), F.col("tokens").alias(f"t{x}")) for x in "ab")
         both = pairs.join(a, "a").join(b, "b")
         same = F.size(F.array_intersect("ta", "tb"))
@@ -338,12 +372,13 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     open_ = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("key")
     cross = materialize(placed.join(open_, "key").select(F.col("centre").alias("key"), "cls", "n", "level", "comp").distinct(), "open")
     top = cross.agg(F.max("level")).first()[0] or 0
-    room = F.element_at(F.array(*(F.lit(max(1, min(BLOCK, BLOCK_BYTES // (8 * shingles.groups(lv, percent))))) for lv in range(top + 1))), F.col("level") + 1)
+    room = F.element_at(F.array(*(F.lit(max(1, min(BLOCK, BLOCK_BYTES // (8 * shingles.upper(lv, percent))))) for lv in range(top + 1))), F.col("level") + 1)
     sizes = cross.groupBy("key", "level").agg(F.count("*").alias("sets")).select("key", "level", F.ceil(F.col("sets") / room).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
-    dealt = cross.join(sizes, ["key", "level"]).join(vectors, ["cls", "level"]).withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "level", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "vector")
+    tokens = materialize(told(asked(cross.select("cls")), lambda s: (s.tobytes(),), ["tokens"], [pa.binary()], "cls long, tokens binary"), "tokens")
+    dealt = cross.join(sizes, ["key", "level"]).join(tokens, "cls").withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "level", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "tokens")
     grouped = dealt.repartition(buckets, "key", "level", "low", "high").sortWithinPartitions("key", "level", "low", "high")
-    more = materialize(verified(materialize(grouped.mapInArrow(_search(percent), "a long, b long").distinct(), "survivors", BATCH)), "links")
+    more = materialize(grouped.mapInArrow(_search(percent), "a long, b long"), "links", BATCH)
     final = components(links.unionByName(more))
     joined = least.join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     tops = joined.groupBy("root").agg(F.min("least").alias("component_id"))

@@ -209,3 +209,31 @@ def test_graph(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (200, 150), (150, 175)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 200: 150, 150: 150, 175: 150}
+
+
+def test_search_gives_fewer_links_than_components(spark, monkeypatch):
+    """A large group that shares many families: the search lists links that connect components, not pairs."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for _ in range(160):
+        w = list(base)
+        for _ in range(rng.randint(1, 3)):
+            w[rng.randrange(len(w))] = f"r{rng.randrange(10**6)}"
+        docs.append(" ".join(w))
+    docs = list(enumerate(docs))
+    given, kept = [], jaccard.materialize
+
+    def counted(df, name, *more):
+        out = kept(df, name, *more)
+        if name in ("survivors", "links"):
+            given.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect())
+    assert got == plain(docs, 4, 85)
+    assert len({c for _, _, c in got}) < len(docs) - 20
+    assert len(given) == 2 and given[1][0] == "links"  # of the stars, of the search
+    tasks = 8
+    assert given[1][1] < tasks * len(docs) and all(n < tasks * len(docs) for _, n in given)
