@@ -61,21 +61,27 @@ class Encoder:
 
     def word(self, raw: bytes) -> list[int]:
         if raw.isalpha():  # plain letters are one piece
-            pieces = [raw.lower().decode("ascii")]
-        else:
-            text = raw.decode("utf-8")
-            if not PLAIN.fullmatch(text):
-                return self.encode(text)
-            pieces = PIECES.findall(text.lower())
+            return self.piece(raw.lower().decode("ascii"))
+        text = raw.decode("utf-8")
+        if not (raw.isascii() and text.isprintable() or PLAIN.fullmatch(text)):
+            return self.encode(text)
+        pieces = PIECES.findall(text.lower())
+        if len(pieces) == 1:
+            return self.piece(pieces[0])
         out: list[int] = []
+        held = self.pieces
         for piece in pieces:
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = [x.id for x in self.model.tokenize(piece.encode("utf-8").decode("latin-1").translate(LETTERS))]
-                self.held += 250 + 2 * len(piece) + 8 * len(ids)
-            out += ids
+            out += held[piece] if piece in held else self.piece(piece)
         return out
 
+    def piece(self, piece: str) -> list[int]:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            letters = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(LETTERS)  # ASCII letters of a plain word stand for themselves
+            ids = self.pieces[piece] = [x.id for x in self.model.tokenize(letters)]
+            self.held += 250 + 2 * len(piece) + 8 * len(ids)
+        return ids
+
     def __call__(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a slice."""
         words = Words(texts)
@@ -85,18 +91,24 @@ class Encoder:
         raw = words.data.tobytes()
         keys = [raw[a:b] for a, b in zip(words.start[one].tolist(), words.end[one].tolist(), strict=True)]
         number = np.fromiter(map(self.at.get, keys, repeat(-1)), np.int64, len(keys))
-        for k in np.flatnonzero(number < 0).tolist():
-            ids = self.word(keys[k])
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), len(ids)), np.int32)])
-            if self.count + 2 > len(self.bound):
-                self.bound = np.concatenate([self.bound, np.zeros(len(self.bound), np.int64)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.held += 150 + len(keys[k]) + 4 * len(ids)
-            number[k] = self.at[keys[k]] = self.count
-            self.count += 1
-            self.bound[self.count] = self.used
+        missing = np.flatnonzero(number < 0)
+        fresh, new, size = [keys[k] for k in missing.tolist()], [], []
+        for key in fresh:
+            ids = self.word(key)
+            new += ids
+            size.append(len(ids))
+        if fresh:
+            used, count = self.used + len(new), self.count + len(fresh)
+            if used > len(self.flat):
+                self.flat = np.concatenate([self.flat[: self.used], np.empty(max(used, 2 * len(self.flat)) - self.used, np.int32)])
+            if count >= len(self.bound):
+                self.bound = np.concatenate([self.bound[: self.count + 1], np.zeros(max(count + 1, 2 * len(self.bound)) - self.count - 1, np.int64)])
+            self.flat[self.used : used] = new
+            self.bound[self.count + 1 : count + 1] = self.used + np.cumsum(size)
+            number[missing] = np.arange(self.count, count)
+            self.at.update(zip(fresh, range(self.count, count), strict=True))
+            self.held += 150 * len(fresh) + sum(map(len, fresh)) + 4 * len(new)
+            self.used, self.count = used, count
         bound = self.bound
         number = number[where] if len(where) else np.zeros(0, np.int64)
         start, size = bound[number], bound[number + 1] - bound[number]

@@ -245,3 +245,27 @@ def test_words_of_one_slice_stay_known_in_the_next():
     encode.word = lambda raw: asked.append(raw) or word(raw)
     again = encode(pa.array([" ".join(words)], pa.large_string()))
     assert not asked and (once[0] == again[0]).all()
+
+
+def test_words_are_encoded_in_bulk_as_one_by_one(monkeypatch):
+    """Ids of many new words reach the cache with one write a slice, and are those of the library."""
+    import numpy as np
+    import pyarrow as pa
+
+    from addrlink.llm import bpe
+
+    words = ["plain", "UPPER", "it's", "x1y22", "a-b", "...", "é", "Ünï", "don't!", "中文", "\x01ctl", "tab\x7f", "ſ", "İx", "🙂", "naïve-1"]
+    texts = [" ".join(f"{w}{i}" for w in words for i in range(k, k + 40)) for k in range(0, 2000, 40)] + ["", " ".join(words)]
+    encode = bpe.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    encode.flat, encode.bound, calls = np.empty(4, np.int32), np.zeros(4, np.int64), []
+
+    class Counted(dict):
+        def update(self, *x):
+            calls.append(1)
+            super().update(*x)
+
+    encode.at = Counted()
+    for part in (pa.array(texts[:20], pa.large_string()), pa.array(texts[10:], pa.large_string())):
+        for text, ids in zip(part.to_pylist(), encode(part), strict=True):
+            assert ids.tolist() == encode.full.encode(text, add_special_tokens=False).ids
+    assert len(calls) == 2
