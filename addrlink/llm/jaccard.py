@@ -37,7 +37,7 @@ from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
 LEAF, BLOCK = 32, 4000
-BLOCK_BYTES = 16_000_000  # of token sets in a block
+BLOCK_BYTES = 4_000_000  # of token sets in a block
 BATCH = 500  # rows with count vectors or token sets that go to Python at once
 BUCKET = 12_000_000  # shingles whose keys a bucket holds, on average
 
@@ -244,7 +244,7 @@ def _search(percent: int):
     def group(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         cls, size, comp, block = (rows.column(c).to_numpy() for c in ("cls", "n", "comp", "block"))
         low, high, lv = (rows.column(c)[0].as_py() for c in ("low", "high", "level"))
-        tokens = [np.frombuffer(raw, U) for raw in rows.column("tokens").to_pylist()]
+        tokens = [np.frombuffer(raw.as_buffer(), U) for raw in rows.column("tokens")]  # views
         held, label = np.unique(comp, return_inverse=True)
         root, to = np.unique([find(c) for c in held.tolist()], return_inverse=True)
         label = to.reshape(-1)[label.reshape(-1)]
@@ -269,19 +269,23 @@ def _search(percent: int):
             yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*links, strict=True)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
+        held: list[pa.RecordBatch] = []  # pieces of the group that is being read
+        last = None
         for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = t if rest is None else pa.concat_tables([rest, t]).combine_chunks()
-            if not len(t):
+            if not len(batch):
                 continue
-            key, level, low, high = (t.column(c).to_numpy() for c in ("key", "level", "low", "high"))
-            cut = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (level[1:] != level[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
-            for x, y in zip(cut[:-1], cut[1:], strict=True):
-                yield from group(t.slice(x, y - x))
-            rest = t.slice(cut[-1])
-        if rest is not None and len(rest):
-            yield from group(rest)
+            names = [np.asarray(batch.column(batch.schema.names.index(c))) for c in ("key", "level", "low", "high")]
+            cut = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in names]), True])
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                one = tuple(int(c[x]) for c in names)
+                if held and one != last:
+                    yield from group(pa.Table.from_batches(held))
+                    held = []
+                last = one
+                held.append(batch.slice(x, y - x))
+        if held:
+            yield from group(pa.Table.from_batches(held))
+        tidy()
 
     return run
 
