@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .blocks import pack, unpack
-from .common import materialize, partitions, passes, sieve_apart, sieve_bits, tidy
+from .common import few, materialize, partitions, passes, sieve_apart, sieve_bits, tidy
 from .graph import components
 from .tokens import U, Words, mix, signed, slices
 
@@ -328,7 +328,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     """(doc_id, n, cls, hash of the text) of all rows, and root and component_id of all classes."""
     spark = docs.sparkSession
     rows = _rows(docs)
-    described = materialize(rows.mapInArrow(_describe(k, percent, 1, False), "doc_id long, n long, cls long, row long"), "sets")
+    described = materialize(few(rows.mapInArrow(_describe(k, percent, 1, False), "doc_id long, n long, cls long, row long")), "sets")
     buckets = max(partitions(spark), -(-(described.agg(F.sum("n")).first()[0] or 0) // BUCKET))  # a worker holds one bucket
     # the keys are made in a pass of their own, straight into their shuffle: written first they would take as much disk again
     blocks = rows.mapInArrow(_describe(k, percent, buckets, True), "bucket int, raw binary")
@@ -368,7 +368,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     fits = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
     stars = found.where("cls != centre").select(F.col("centre").alias("a"), F.col("cls").alias("b"), F.col("centre_n").alias("na"), F.col("n").alias("nb"), "level").where(fits).groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.min("level").alias("level"))
     likely = stars.join(side("a"), ["a", "level"]).join(side("b"), ["b", "level"]).select("a", "b", "na", "nb", "va", "vb").mapInArrow(_bounded(percent), "a long, b long")
-    links = materialize(verified(materialize(likely, "likely", BATCH)), "links")
+    links = materialize(few(verified(materialize(few(likely), "likely", BATCH))), "links")
     roots = components(links)
 
     # sets of buckets that still hold several components; those of one least set meet as one family, each set once
@@ -382,7 +382,7 @@ def _linked(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame
     tokens = materialize(told(asked(cross.select("cls")), lambda s: (s.tobytes(),), ["tokens"], [pa.binary()], "cls long, tokens binary"), "tokens")
     dealt = cross.join(sizes, ["key", "level"]).join(tokens, "cls").withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", "level", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "cls", "n", "comp", "tokens")
     grouped = dealt.repartition(buckets, "key", "level", "low", "high").sortWithinPartitions("key", "level", "low", "high")
-    more = materialize(grouped.mapInArrow(_search(percent), "a long, b long"), "links", BATCH)
+    more = materialize(few(grouped.mapInArrow(_search(percent), "a long, b long")), "links", BATCH)
     final = components(links.unionByName(more))
     joined = least.join(final.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     tops = joined.groupBy("root").agg(F.min("least").alias("component_id"))

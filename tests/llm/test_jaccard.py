@@ -237,3 +237,21 @@ def test_search_gives_fewer_links_than_components(spark, monkeypatch):
     assert len(given) == 2 and given[1][0] == "links"  # of the stars, of the search
     tasks = 8
     assert given[1][1] < tasks * len(docs) and all(n < tasks * len(docs) for _, n in given)
+
+
+def test_small_tables_are_written_in_few_files(spark, monkeypatch):
+    """Sets and links come from many tasks; on a local disk a file for each would start three processes each."""
+    written, kept = [], jaccard.materialize
+
+    def counted(df, name, *more, **also):
+        out = kept(df, name, *more, **also)
+        if name in ("sets", "likely", "links"):
+            written.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    docs = corpus(9)
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(24)).collect())
+    assert got == plain(docs, 4, 85)
+    assert [name for name, _ in written] == ["sets", "likely", "links", "links"]
+    assert all(n <= 4 for _, n in written), written
